@@ -6,9 +6,9 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyspan.operators.ordered import with_running
+from tallyspan.operators.ordered import SLICE, SPOT, join_slices, place, slice_totals, slices_before
 
 # Up to this many literal ranges are written into the filter, where they reach the Parquet scan.
 LITERAL_RANGES = 200
@@ -35,16 +35,41 @@ def within_any(ts: Column, intervals: Sequence[tuple]) -> Column:
 
 
 def condense(df: DataFrame, group: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Merge overlapping or touching intervals per group.
+    """Merge overlapping or touching intervals per group, for groups of any size.
 
-    Equal intervals are merged before anything is ordered; the running maximum and the island
-    number are computed over range-partitioned slices, so a hot group does not end in one task.
+    Rows are range partitioned by (group, start) into slices. Inside a slice a window finds the
+    islands, given how far the earlier slices reach. Only the first and last island of a slice can
+    belong together with another slice: those, two rows per slice at most, are merged in the end.
     """
-    base = df.select(*group, F.col(start).alias("start"), F.col(end).alias("end")).groupBy(*group, "start").agg(F.max("end").alias("end"))
-    seen = with_running(base, group, ["start"], "_reach", F.col("end"), how="max", inclusive=False)
-    opens = F.when(F.col("start") <= F.col("_reach"), F.lit(0)).otherwise(F.lit(1))
-    islands = with_running(seen.withColumn("_open", opens).drop("_reach"), group, ["start"], "_island", F.col("_open"))
-    return islands.groupBy(*group, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
+    base = df.groupBy(*group, F.col(start).alias("start")).agg(F.max(end).alias("end"))
+    placed = place(base, group, ["start"])
+    carried = slice_totals(placed, group, _t=F.max("end")).select(
+        *group, SLICE, F.max("_t").over(slices_before(group)).alias("_carried")
+    )
+    inside = Window.partitionBy(*group, SLICE).orderBy(SPOT)
+    before = F.max("end").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("start") <= F.greatest(F.col("_carried"), F.col("_before")), 0).otherwise(1)
+    pieces = (
+        join_slices(placed, carried, group)
+        .withColumn("_before", before)
+        .withColumn("_open", opens)
+        .withColumn("_island", F.sum("_open").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*group, SLICE, "_island")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .withColumn("_last", F.max("_island").over(Window.partitionBy(*group, SLICE)))
+    )
+    edge = (F.col("_island") == 0) | (F.col("_island") == F.col("_last"))
+    whole = pieces.where(~edge).select(*group, "start", "end")
+    # an island numbered 0 was not opened in its slice: it goes on from the last one opened before
+    along = Window.partitionBy(*group).orderBy(SLICE, "_island").rowsBetween(Window.unboundedPreceding, 0)
+    edges = (
+        pieces.where(edge)
+        .withColumn("_no", F.sum((F.col("_island") > 0).cast("int")).over(along))
+        .groupBy(*group, "_no")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .drop("_no")
+    )
+    return whole.unionByName(edges)
 
 
 def umbrella(df: DataFrame, group: list[str], start: str = "start", end: str = "end") -> DataFrame:

@@ -33,27 +33,27 @@ def place(df: DataFrame, group: list[str], order: list) -> DataFrame:
     )
 
 
-def _slice_totals(placed: DataFrame, group: list[str], **aggs: Column) -> DataFrame:
+def slice_totals(placed: DataFrame, group: list[str], **aggs: Column) -> DataFrame:
     """One row per (group, slice): bounded by slices + groups, not by rows."""
     return placed.groupBy(*group, SLICE).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
-def _before(group: list[str]):
+def slices_before(group: list[str]):
     return Window.partitionBy(*group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def with_position(df: DataFrame, group: list[str], order: list, name: str = "position") -> DataFrame:
     """0-based position of every row inside its group."""
     placed = place(df, group, order)
-    starts = _slice_totals(placed, group, _n=F.count(F.lit(1)), _first=F.min(SPOT)).select(
-        *group, SLICE, "_first", F.coalesce(F.sum("_n").over(_before(group)), F.lit(0)).alias("_skip")
+    starts = slice_totals(placed, group, _n=F.count(F.lit(1)), _first=F.min(SPOT)).select(
+        *group, SLICE, "_first", F.coalesce(F.sum("_n").over(slices_before(group)), F.lit(0)).alias("_skip")
     )
-    return _join(placed, starts, group).withColumn(
+    return join_slices(placed, starts, group).withColumn(
         name, F.col("_skip") + F.col(SPOT) - F.col("_first")
     ).drop(SLICE, SPOT, "_first", "_skip")
 
 
-def _join(placed: DataFrame, totals: DataFrame, group: list[str]) -> DataFrame:
+def join_slices(placed: DataFrame, totals: DataFrame, group: list[str]) -> DataFrame:
     keys = [*group, SLICE]
     right = totals.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in totals.columns if c not in keys])
     on = None
@@ -79,14 +79,14 @@ def with_running(
         "max": lambda a, b: F.greatest(a, b),
     }[how]
     placed = place(df.withColumn("_v", value), group, order)
-    carried = _slice_totals(placed, group, _t=fold("_v")).select(
-        *group, SLICE, fold("_t").over(_before(group)).alias("_carried")
+    carried = slice_totals(placed, group, _t=fold("_v")).select(
+        *group, SLICE, fold("_t").over(slices_before(group)).alias("_carried")
     )
     inside = Window.partitionBy(*group, SLICE).orderBy(SPOT).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1
     )
     return (
-        _join(placed, carried, group)
+        join_slices(placed, carried, group)
         .withColumn("_inside", fold("_v").over(inside))
         .withColumn(name, join2(F.col("_carried"), F.col("_inside")))
         .drop(SLICE, SPOT, "_v", "_carried", "_inside")

@@ -1 +1,290 @@
-"""To come."""
+"""Ingest queries: a table is rendered as text by Spark and read back through the parsers."""
+
+from pyspark.sql import functions as F
+
+from tallyspan.functions import timeparse as tp
+from tallyspan.plans.registry import query
+from tallyspan.session import scratch_path
+from tallyspan.sources import ingest as i
+
+c = F.col
+
+
+def _customer_lines(t, delimiter="\t"):
+    line = F.concat_ws(delimiter, c("c_custkey").cast("string"), "c_name", c("c_nationkey").cast("string"))
+    tail = F.concat(line, F.lit(delimiter), "c_mktsegment")
+    # short rows where the key is a multiple of 7
+    return t.customer.select(F.when(c("c_custkey") % 7 == 0, line).otherwise(tail).alias("value"))
+
+
+CUSTOMER_BACK = """c_custkey::VARCHAR AS {0}, c_name AS {1}, c_nationkey::VARCHAR AS {2}, CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS {3}"""
+
+
+@query("ingest_delimited", f"SELECT {CUSTOMER_BACK.format('column_1', 'column_2', 'column_3', 'column_4')} FROM customer")
+def ingest_delimited(t):
+    return i.delimited(_customer_lines(t), "value", width=4)
+
+
+@query("ingest_header_skip", f"SELECT {CUSTOMER_BACK.format('id', 'name', 'nation', 'segment')} FROM customer")
+def ingest_header_skip(t):
+    path = scratch_path(t.spark, "lines")
+    # every file gets two rows of comment and a header row in front of its lines
+    def with_head(batches):
+        import pyarrow as pa
+
+        first = True
+        for b in batches:
+            if first:
+                yield pa.RecordBatch.from_arrays([pa.array(["# dump", "# two rows of no data", "id\tname\tnation\tsegment"])], ["value"])
+                first = False
+            yield b
+
+    _customer_lines(t).mapInArrow(with_head, "value string").write.text(path)
+    return i.read_delimited_files(t.spark, path, skip=2)
+
+
+@query(
+    "ingest_multivalue",
+    """
+    SELECT doc_id, 3::INTEGER AS n, lang || '|' || '~' || '|' || source AS tags, 1::INTEGER AS single FROM documents
+    """,
+)
+def ingest_multivalue(t):
+    line = F.concat(c("doc_id").cast("string"), F.lit(","), c("lang"), F.lit("\u0001\u0001"), c("source"), F.lit(","), c("lang"))
+    rows = i.delimited(t.documents.select(line.alias("value")), "value", ["doc_id", "tags", "single"], delimiter=",", lists=["tags", "single"])
+    return rows.select(
+        c("doc_id").cast("long").alias("doc_id"), F.size("tags").alias("n"), F.array_join("tags", "|", "~").alias("tags"), F.size("single").alias("single")
+    )
+
+
+def _json_lines(t):
+    """One JSON text per event: its props, two scalars, a flat list, a nested object and a null."""
+    body = F.to_json(
+        F.struct(
+            c("event_id").alias("id"),
+            c("event_type").alias("kind"),
+            c("value").alias("amount"),
+            F.array(c("event_type"), c("user_id").cast("string")).alias("tags"),
+            F.struct(c("user_id").alias("user"), F.array(c("user_id"), c("event_id")).alias("ids")).alias("inner"),
+            F.array(F.struct(c("user_id").alias("u"))).alias("deep"),
+        )
+    )
+    return t.events.select(F.concat(F.expr("left(props, length(props) - 1)"), F.lit(', "none": null, '), F.substring(body, 2, 1000000)).alias("value"))
+
+
+@query(
+    "ingest_json",
+    """
+    SELECT event_id AS id, event_type AS kind, value AS amount, event_type || '|' || user_id AS tags,
+      json_extract_string(props, '$.k')::BIGINT AS k, 'amount,id,k,kind,tags' AS fields
+    FROM events
+    """,
+)
+def ingest_json(t):
+    rows = i.json_rows(_json_lines(t), "value")
+    return rows.withColumns({"tags": F.array_join("tags", "|"), "fields": F.lit(",".join(rows.columns))})
+
+
+@query("json_flatten_root", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, NULL::VARCHAR AS missing FROM events")
+def json_flatten_root(t):
+    return t.events.select(
+        "event_id", i.flatten_root(c("props"), "k", "bigint").alias("k"), i.flatten_root(c("props"), "no_such").alias("missing")
+    )
+
+
+@query("json_flatten_path", "SELECT event_id AS id, user_id AS user_key, event_id AS second FROM events")
+def json_flatten_path(t):
+    v = c("value")
+    return _json_lines(t).select(
+        i.flatten_path(v, "$.id", "bigint").alias("id"),
+        i.flatten_path(v, "$.inner.user", "bigint").alias("user_key"),
+        i.flatten_path(v, "$.inner.ids[1]", "bigint").alias("second"),
+    )
+
+
+@query("json_flatten_jq", "SELECT event_id AS id, event_type AS first_tag, user_id AS deep_user FROM events")
+def json_flatten_jq(t):
+    v = c("value")
+    return _json_lines(t).select(
+        i.flatten_jq(v, ".id", "bigint").alias("id"),
+        i.flatten_jq(v, ".tags[]").alias("first_tag"),
+        i.flatten_jq(v, ".deep[0].u", "bigint").alias("deep_user"),
+    )
+
+
+URL = r"https?://([^/]+)/([a-z]*)/?(\d*)(?:\?.*)?"
+
+
+@query(
+    "ingest_regex",
+    r"""
+    WITH p AS (SELECT page_id, CASE WHEN page_id % 9 = 0 THEN 'mailto:x' ELSE url END AS u FROM pages)
+    SELECT page_id, CASE WHEN regexp_full_match(u, 'https?://([^/]+)/([a-z]*)/?(\d*)(?:\?.*)?') THEN nullif(regexp_extract(u, '^https?://([^/]+)/([a-z]*)/?(\d*)(?:\?.*)?$', 1), '') END AS host,
+      CASE WHEN regexp_full_match(u, 'https?://([^/]+)/([a-z]*)/?(\d*)(?:\?.*)?') THEN nullif(regexp_extract(u, '^https?://([^/]+)/([a-z]*)/?(\d*)(?:\?.*)?$', 2), '') END AS lang,
+      CASE WHEN NOT regexp_full_match(u, 'https?://([^/]+)/([a-z]*)/?(\d*)(?:\?.*)?') THEN 'no match' END AS reason
+    FROM p
+    """,
+)
+def ingest_regex(t):
+    lines = t.pages.select("page_id", F.when(c("page_id") % 9 == 0, "mailto:x").otherwise(c("url")).alias("value"))
+    rows = i.regex_rows(lines, "value", URL, ["host", "lang", "number"])
+    return rows.select("page_id", "host", "lang", c(i.REASON).alias("reason"))
+
+
+@query("ingest_map", "SELECT ts, event_id, event_type, user_id, value FROM events")
+def ingest_map(t):
+    return i.map_rows(t.events, "ts", metrics=["value"], exclusions=["props"])
+
+
+@query(
+    "ingest_rejects",
+    """
+    WITH d AS (SELECT event_id, CASE WHEN event_id % 101 = 0 THEN left(props, 3) WHEN event_id % 97 = 0 THEN '{"j": 1}' ELSE props END AS v FROM events)
+    SELECT event_id, CASE WHEN event_id % 101 <> 0 AND event_id % 97 <> 0 THEN json_extract_string(v, '$.k')::BIGINT END AS k,
+      CASE WHEN event_id % 101 = 0 THEN 'not JSON' WHEN event_id % 97 = 0 THEN 'no k' END AS reason
+    FROM d
+    """,
+)
+def ingest_rejects(t):
+    k = c("event_id")
+    damaged = F.when(k % 101 == 0, F.expr("left(props, 3)")).when(k % 97 == 0, F.lit('{"j": 1}')).otherwise(c("props"))
+    rows = t.events.select("event_id", damaged.alias("v"))
+    reasons = {"not JSON": F.try_parse_json("v").isNull(), "no k": i.flatten_root(c("v"), "k").isNull()}
+    good, bad = i.split_rejects(rows, reasons)
+    return good.select("event_id", i.flatten_root(c("v"), "k", "bigint").alias("k"), F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select("event_id", F.lit(None).cast("bigint").alias("k"), c(i.REASON).alias("reason"))
+    )
+
+
+@query(
+    "ingest_charset",
+    """
+    SELECT doc_id, md5(text) AS utf8, md5(text || chr(65533) || 'x') AS damaged, md5(text) AS utf16, md5('é' || lang) AS latin1 FROM documents
+    """,
+)
+def ingest_charset(t):
+    text = c("text")
+    bad = F.concat(F.encode(text, "UTF-8"), F.unhex(F.lit("FF78")))
+    return t.documents.select(
+        "doc_id",
+        F.md5(i.decode_text(F.encode(text, "UTF-8"))).alias("utf8"),
+        F.md5(i.decode_text(bad)).alias("damaged"),
+        F.md5(i.decode_text(F.encode(text, "UTF-16LE"), "UTF-16LE")).alias("utf16"),
+        F.md5(i.decode_text(F.encode(F.concat(F.lit("é"), "lang"), "ISO-8859-1"), "ISO-8859-1")).alias("latin1"),
+    )
+
+
+@query(
+    "parse_time_auto",
+    """
+    SELECT event_id, CASE event_id % 4 WHEN 2 THEN date_trunc('day', ts)::TIMESTAMP WHEN 3 THEN date_trunc('minute', ts) ELSE date_trunc('milliseconds', ts) END AS t,
+      NULL::TIMESTAMP AS bad
+    FROM events
+    """,
+)
+def parse_time_auto(t):
+    k = c("event_id") % 4
+    text = (
+        F.when(k == 0, F.unix_millis("ts").cast("string"))
+        .when(k == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+        .when(k == 2, F.date_format("ts", "yyyy-MM-dd"))
+        .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm"), F.lit(" America/New_York")))
+    )
+    return t.events.select("event_id", tp.parse_auto(text).alias("t"), tp.parse_auto(c("event_type")).alias("bad"))
+
+
+@query(
+    "parse_time_iso",
+    "SELECT event_id, date_trunc('milliseconds', ts) AS t, date_trunc('second', ts) - INTERVAL '8 hours' AS shifted FROM events",
+)
+def parse_time_iso(t):
+    quoted = F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit('"'))
+    shifted = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+08:00'")
+    return t.events.select("event_id", tp.parse_iso(quoted).alias("t"), tp.parse_iso(shifted).alias("shifted"))
+
+
+@query(
+    "parse_time_numeric",
+    """
+    SELECT event_id, date_trunc('second', ts) AS posix, date_trunc('milliseconds', ts) AS millis, date_trunc('milliseconds', ts) AS nano,
+      date_trunc('second', ts) AS ruby
+    FROM events
+    """,
+)
+def parse_time_numeric(t):
+    micros = F.unix_micros("ts")
+    texts = {
+        "posix": F.unix_seconds("ts").cast("string"),
+        "millis": F.unix_millis("ts").cast("string"),
+        "nano": F.concat(micros.cast("string"), F.lit("789")),
+        "ruby": F.concat_ws(".", F.unix_seconds("ts").cast("string"), F.lpad((micros % 1000000).cast("string"), 6, "0")),
+    }
+    return t.events.select("event_id", *[tp.timestamp_parser(n)(x).alias(n) for n, x in texts.items()])
+
+
+@query("parse_time_format", "SELECT o_orderkey, o_orderdate AS t, NULL::TIMESTAMP AS bad FROM orders")
+def parse_time_format(t):
+    text = F.date_format("o_orderdate", "dd.MM.yyyy HH:mm")
+    return t.orders.select(
+        "o_orderkey", tp.parse_format(text, "dd.MM.yyyy HH:mm").alias("t"), tp.parse_format(c("o_orderstatus"), "dd.MM.yyyy HH:mm").alias("bad")
+    )
+
+
+@query(
+    "missing_time_default",
+    "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN TIMESTAMP '2000-01-01' ELSE date_trunc('milliseconds', ts) END AS t, event_id % 7 = 0 AS rejected FROM events",
+)
+def missing_time_default(t):
+    text = F.when(c("event_id") % 7 != 0, F.unix_millis("ts").cast("string"))
+    parsed = tp.parse_auto(text)
+    return t.events.select("event_id", tp.with_default(parsed, "2000-01-01").alias("t"), tp.with_default(parsed, None).isNull().alias("rejected"))
+
+
+@query(
+    "metric_text_to_number",
+    """
+    SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE c_acctbal END AS v, CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE c_custkey END AS whole,
+      NULL::DOUBLE AS bad
+    FROM customer
+    """,
+)
+def metric_text_to_number(t):
+    k = c("c_custkey")
+    # 12,345.67 with a sign in front of positive numbers
+    number = F.format_number("c_acctbal", 2)
+    text = F.when(k % 7 != 0, F.concat(F.lit(" "), F.when(c("c_acctbal") >= 0, F.concat(F.lit("+"), number)).otherwise(number)))
+    whole = F.when(k % 7 != 0, F.concat(F.lit("+"), F.format_number(k, 0)))
+    return t.customer.select(
+        "c_custkey", i.text_to_number(text).alias("v"), i.text_to_long(whole).alias("whole"), i.text_to_number(c("c_name")).alias("bad")
+    )
+
+
+@query(
+    "exact_long_text",
+    f"""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity::BIGINT AS v, CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber::BIGINT // 2 END AS halves,
+      NULL::BIGINT AS too_big
+    FROM lineitem
+    """,
+)
+def exact_long_text(t):
+    return t.lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        i.exact_long(c("l_quantity").cast("string")).alias("v"),
+        i.exact_long((c("l_linenumber") / 2).cast("string")).alias("halves"),
+        i.exact_long(F.concat(c("l_linenumber").cast("string"), F.lit("9" * 19 + ".0"))).alias("too_big"),
+    )
+
+
+@query("duplicate_column_check", "SELECT o_orderkey, o_custkey, true AS rejected FROM orders")
+def duplicate_column_check(t):
+    rows = t.orders.select("o_orderkey", "o_custkey")
+    i.check_names(rows.columns)
+    try:
+        i.check_names([*rows.columns, "O_CustKey"])
+        rejected = False
+    except ValueError:
+        rejected = True
+    return rows.withColumn("rejected", F.lit(rejected))
