@@ -1 +1,95 @@
-"""To come."""
+"""Spatial queries over the first two components of the embeddings."""
+
+from pyspark.sql import functions as F
+
+from tallyspan.functions import spatial as sp
+from tallyspan.operators.spatial import join_boxes
+from tallyspan.plans.registry import query
+
+c = F.col
+POINTS = "p AS (SELECT vec_id, label, embedding[1] AS x, embedding[2] AS y FROM embeddings)"
+
+
+def _points(t):
+    e = c("embedding")
+    return t.embeddings.select("vec_id", "label", sp.coordinate(F.get(e, 0), F.get(e, 1)).alias("at"))
+
+
+@query(
+    "spatial_build",
+    f"""
+    WITH {POINTS} SELECT vec_id, CASE WHEN vec_id % 7 <> 0 THEN x::DOUBLE END AS x, CASE WHEN vec_id % 7 <> 0 THEN y::DOUBLE END AS y,
+      CASE WHEN vec_id % 7 <> 0 THEN 3 END::INTEGER AS parts FROM p
+    """,
+)
+def spatial_build(t):
+    e = c("embedding")
+    third = F.when(c("vec_id") % 7 == 0, "n/a").otherwise(c("label").cast("string"))
+    at = sp.coordinate(F.get(e, 0), F.get(e, 1), third)
+    return t.embeddings.select(
+        "vec_id", F.get(at, 0).cast("double").alias("x"), F.get(at, 1).cast("double").alias("y"), F.when(at.isNotNull(), F.size(at)).alias("parts")
+    )
+
+
+@query(
+    "spatial_decode",
+    f"WITH {POINTS} SELECT vec_id, CASE WHEN vec_id % 7 <> 0 THEN x::DOUBLE END AS x, CASE WHEN vec_id % 7 <> 0 THEN y::DOUBLE END AS y FROM p",
+)
+def spatial_decode(t):
+    e = c("embedding")
+    y = F.when(c("vec_id") % 7 == 0, "north").otherwise(F.get(e, 1).cast("string"))
+    at = sp.decode(F.concat_ws(",", F.get(e, 0).cast("string"), y))
+    return t.embeddings.select("vec_id", F.get(at, 0).cast("double").alias("x"), F.get(at, 1).cast("double").alias("y"))
+
+
+@query(
+    "spatial_rectangle",
+    f"WITH {POINTS} SELECT vec_id FROM p WHERE x >= (-0.05)::FLOAT AND x <= 0.15::FLOAT AND y >= (-0.1)::FLOAT AND y <= 0.1::FLOAT",
+)
+def spatial_rectangle(t):
+    return _points(t).where(sp.in_rectangle(c("at"), [-0.05, -0.1], [0.15, 0.1])).select("vec_id")
+
+
+@query(
+    "spatial_radius",
+    f"WITH {POINTS} SELECT vec_id FROM p WHERE power((x - 0.02::FLOAT)::DOUBLE, 2) + power((y - 0.03::FLOAT)::DOUBLE, 2) <= power(0.12::FLOAT::DOUBLE, 2)",
+)
+def spatial_radius(t):
+    return _points(t).where(sp.in_radius(c("at"), [0.02, 0.03], 0.12)).select("vec_id")
+
+
+XS, YS = [-0.2, 0.0, 0.2, 0.1, 0.0], [0.0, 0.2, 0.0, -0.2, -0.05]
+
+
+@query(
+    "spatial_polygon",
+    f"""
+    WITH {POINTS}, k AS (SELECT unnest([0, 1, 2, 3, 4]) AS i, unnest({XS}::FLOAT[]) AS x1, unnest({YS}::FLOAT[]) AS y1,
+      unnest({XS[-1:] + XS[:-1]}::FLOAT[]) AS x2, unnest({YS[-1:] + YS[:-1]}::FLOAT[]) AS y2),
+    h AS (SELECT vec_id, count(*) AS n FROM p JOIN k ON y BETWEEN least(y1, y2) AND greatest(y1, y2) AND y1 <> y2 AND x >= least(x1, x2)
+      AND x1 + (y - y1) / (y2 - y1) * (x2 - x1) < x GROUP BY 1)
+    SELECT vec_id FROM h WHERE n % 2 = 1
+    """,
+)
+def spatial_polygon(t):
+    return _points(t).where(sp.in_polygon(c("at"), XS, YS)).select("vec_id")
+
+
+@query(
+    "spatial_join",
+    f"""
+    WITH {POINTS}, b AS (SELECT vec_id AS box_id, x AS min_x, (x + (1 + vec_id % 5) * 0.01)::FLOAT AS max_x, y AS min_y, (y + (1 + vec_id % 3) * 0.02)::FLOAT AS max_y FROM p)
+    SELECT vec_id, box_id FROM p JOIN b ON x >= min_x AND x <= max_x AND y >= min_y AND y <= max_y
+    """,
+)
+def spatial_join(t):
+    points = _points(t).select("vec_id", F.get("at", 0).alias("x"), F.get("at", 1).alias("y"))
+    k = c("vec_id")
+    boxes = points.select(
+        k.alias("box_id"),
+        c("x").alias("min_x"),
+        (c("x").cast("double") + (1 + k % 5) * 0.01).cast("float").alias("max_x"),
+        c("y").alias("min_y"),
+        (c("y").cast("double") + (1 + k % 3) * 0.02).cast("float").alias("max_y"),
+    )
+    return join_boxes(points, "x", "y", boxes).select("vec_id", "box_id")
