@@ -1 +1,48 @@
-"""To come."""
+"""Streaming queries: the tables arrive as a file stream that is run until all of it is read."""
+
+from pyspark.sql import functions as F
+
+from tallyspan.functions.granularity import granularity
+from tallyspan.operators import aggregate as a
+from tallyspan.plans.alerts import requests_of
+from tallyspan.plans.registry import query
+from tallyspan.streaming.outbox import outbox_available
+from tallyspan.streaming.rollup import rollup_available
+from tallyspan.streaming.sinks import stream_table
+
+c = F.col
+
+
+@query(
+    "rollup_stream",
+    """
+    SELECT date_trunc('hour', ts) AS bucket, event_type, count(*)::BIGINT AS n, round(sum(value), 4) AS total, arg_max(value, (ts, event_id)) AS last_value,
+      count(*) FILTER (WHERE value > 100)::BIGINT AS n_high
+    FROM events WHERE ts >= TIMESTAMP '2024-01-03' GROUP BY 1, 2
+    """,
+)
+def rollup_stream(t):
+    aggs = [
+        a.count("n"),
+        a.double_sum("total", c("value")),
+        a.double_last("last_value", c("value"), "ts", "event_id", state=True),
+        a.filtered(a.count("n_high"), c("value") > 100),
+    ]
+    stream = stream_table(t.spark, t.sf_dir, "events")
+    out = rollup_available(stream, "ts", granularity("hour"), ["event_type"], aggs, min_time="2024-01-03 00:00:00")
+    return out.withColumn("total", F.round("total", 4))
+
+
+@query(
+    "alert_outbox_stream",
+    """
+    WITH r AS (SELECT event_id AS request_id, '[' || upper(CASE WHEN value > 50 THEN 'fatal' ELSE 'warn' END) || '] event ' || event_id AS subject,
+      CASE user_id % 3 WHEN 0 THEN ['ops@example.com'] WHEN 1 THEN ['ops@example.com', 'user' || user_id || '@example.com'] ELSE [] END AS tos
+      FROM events WHERE event_type = 'error')
+    SELECT request_id, subject, unnest(tos) AS recipient, false AS missing_recipient FROM r
+    UNION ALL SELECT request_id, subject, NULL, true FROM r WHERE len(tos) = 0
+    """,
+)
+def alert_outbox_stream(t):
+    stream = stream_table(t.spark, t.sf_dir, "events")
+    return outbox_available(requests_of(stream)).drop("body")
