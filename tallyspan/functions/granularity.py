@@ -343,13 +343,11 @@ def path_to_time(path: Column, name: str, style: str = "default") -> Column:
     else:
         pattern = "/".join(f"[{f[0].lower()}{f[0].upper()}]=(\\d{{{len(f[2])}}})" for f in PATH_FIELDS[:depth])
     whole = f"^.*{pattern}/.*$"
-    parts = [F.regexp_extract(path, whole, i + 1) for i in range(depth)]
-    text = F.concat(
-        parts[0],
-        *[F.concat(F.lit(sep), parts[i]) if i < depth else F.lit(rest)
-          for i, (sep, rest) in enumerate([("-", "-01"), ("-", "-01"), (" ", " 00"), (":", ":00"), (":", ":00")], start=1)],
-    )
-    return F.when(path.rlike(whole), granularity(name).start(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))))
+    # one pass of the pattern rewrites the path as a time; a path that does not match is no time
+    given = "".join(f"{sep}${i + 1}" for i, sep in enumerate(("", "-", "-", " ", ":", ":")[:depth]))
+    rest = "".join(("", "-01", "-01", " 00", ":00", ":00")[depth:])
+    text = F.regexp_replace(path, whole, given + rest)
+    return granularity(name).start(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")))
 
 
 def finer_granularities(name: str) -> list[str]:

@@ -1,4 +1,7 @@
-"""Sort keys that reproduce each named ordering with native sorting; nulls come first."""
+"""Sort keys that reproduce each named ordering with native ascending sorting; nulls come first.
+
+Add a key as a column before a large sort: a sort evaluates expressions at each comparison.
+"""
 
 from __future__ import annotations
 
@@ -12,30 +15,31 @@ OTHER_DIGITS = (
     "０１２３４５６７８９"
 )
 
+# Fixed value: the shape of a decimal number in text.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
 
 def lexicographic(c: Column) -> Column:
     """UTF-8 byte order is the native order of strings."""
-    return c.asc_nulls_first()
+    return c
 
 
 def natural(c: Column) -> Column:
-    return c.asc_nulls_first()
-
-
-def strlen_key(c: Column) -> Column:
-    return F.when(c.isNotNull(), F.struct(F.length(c).alias("n"), c.alias("t")))
+    return c
 
 
 def strlen(c: Column) -> Column:
     """Length, then text."""
-    return strlen_key(c).asc_nulls_first()
+    return F.when(c.isNotNull(), F.struct(F.length(c).alias("n"), c.alias("t")))
 
 
-def numeric_key(c: Column) -> Column:
+def numeric(c: Column) -> Column:
+    """Text as numbers: null, then unparseable text in byte order, then the numbers by value."""
     # 38 digits with 12 after the point: exact for longs and for common decimals; longer numbers use the double
-    exact = c.try_cast("decimal(38,12)")
-    approx = c.try_cast("double")
-    finite = F.when(~F.isnan(approx) & (F.abs(approx) < float("inf")), approx)
+    # text that cannot be a number is sorted out by its shape first: a failing cast is slow
+    text = F.when(c.rlike(NUMBER), c)
+    exact = text.try_cast("decimal(38,12)")
+    finite = text.try_cast("double")
     return F.when(
         c.isNotNull(),
         F.struct(
@@ -47,12 +51,7 @@ def numeric_key(c: Column) -> Column:
     )
 
 
-def numeric(c: Column) -> Column:
-    """Text as numbers: null, then unparseable text in byte order, then the numbers by value."""
-    return numeric_key(c).asc_nulls_first()
-
-
-def alphanumeric_key(c: Column) -> Column:
+def alphanumeric(c: Column) -> Column:
     """Runs of digits by value and runs of other text without case, digits first.
 
     Each run is a struct: (is text, count of digits without leading zeros, those digits, leading
@@ -75,21 +74,17 @@ def alphanumeric_key(c: Column) -> Column:
     return F.when(c.isNotNull(), F.struct(F.transform(runs, run).alias("runs"), F.length(c).alias("n")))
 
 
-def alphanumeric(c: Column) -> Column:
-    return alphanumeric_key(c).asc_nulls_first()
-
-
 def numeric_first(c: Column) -> list[Column]:
     """Non-finite doubles before finite ones."""
     finite = ~F.isnan(c) & (F.abs(c) < float("inf"))
-    return [F.coalesce(finite, F.lit(False)).asc(), c.asc_nulls_first()]
+    return [F.coalesce(finite, F.lit(False)), c]
 
 
 def time_dims(ts: Column, *dims: tuple[Column, bool]) -> list[Column]:
     """Time, then dimensions in declared order; a list (flag set) goes by length, then by elements."""
-    out = [ts.asc_nulls_first()]
+    out = [ts]
     for c, is_list in dims:
         if is_list:
-            out.append(F.coalesce(F.size(c), F.lit(0)).asc())
-        out.append(c.asc_nulls_first())
+            out.append(F.coalesce(F.size(c), F.lit(0)))
+        out.append(c)
     return out

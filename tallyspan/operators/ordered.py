@@ -8,6 +8,8 @@ The order must be total: add a tiebreak, otherwise equal rows cannot be split.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyspan.session import materialise
@@ -16,21 +18,40 @@ SLICE = "_slice"
 SPOT = "_spot"
 
 
-def _ordering(order: list) -> list[Column]:
-    return [F.col(o) if isinstance(o, str) else o for o in order]
+@dataclass(frozen=True)
+class Desc:
+    """A sort key in descending order; plain keys are ascending with nulls first."""
+
+    key: str | Column
+
+
+def sort_columns(order: list) -> list[Column]:
+    """Keys (names, columns, or ``Desc`` of either) as sort columns."""
+    return [_column(o.key).desc() if isinstance(o, Desc) else _column(o).asc() for o in order]
+
+
+def _column(key: str | Column) -> Column:
+    return F.col(key) if isinstance(key, str) else key
 
 
 def place(df: DataFrame, group: list[str], order: list) -> DataFrame:
     """Range-partition by (group, order) and fix each row's slice and spot in it.
 
     Written once, because slice numbers must not change between the two uses of the result.
+    Computed sort keys become columns first: a sort would evaluate an expression at each comparison.
     """
-    keys = [F.col(g) for g in group] + _ordering(order)
-    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    columns = df.columns
+    named = []
+    for i, o in enumerate(order):
+        key = o.key if isinstance(o, Desc) else o
+        if not isinstance(key, str):
+            df = df.withColumn(f"_key{i}", key)
+            key = f"_key{i}"
+        named.append(Desc(key) if isinstance(o, Desc) else key)
+    keys = sort_columns([*group, *named])
     spot = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return materialise(
-        placed.withColumn(SLICE, F.spark_partition_id()).withColumn(SPOT, spot), "placed"
-    )
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return materialise(placed.select(*columns, F.spark_partition_id().alias(SLICE), spot.alias(SPOT)), "placed")
 
 
 def slice_totals(placed: DataFrame, group: list[str], **aggs: Column) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyspan.functions.granularity import Granularity
 from tallyspan.operators.intervals import in_intervals
-from tallyspan.operators.ordered import with_position
+from tallyspan.operators.ordered import Desc, sort_columns, with_position
 
 TIME = "__time"
 
@@ -204,7 +204,7 @@ def page(
     rows first. ``offsets`` maps a segment to its last offset (a dict for one segment column, or a
     table with ``paging_offset``); ``from_next`` starts one row further on.
     """
-    order = [F.col(ts).desc(), F.col(tiebreak).desc()] if descending else [F.col(ts), F.col(tiebreak)]
+    order = [Desc(ts), Desc(tiebreak)] if descending else [ts, tiebreak]
     first = -1 if descending else 0
     rows, start, deepest = df, F.lit(0), 0
     if isinstance(offsets, dict) and offsets:
@@ -231,11 +231,9 @@ def page(
     return kept.withColumn("paging_offset", shown.cast("long")).drop("_rank", "_start")
 
 
-def _shallow(df: DataFrame, segment: list[str], order: list[Column], depth: int) -> DataFrame:
+def _shallow(df: DataFrame, segment: list[str], order: list, depth: int) -> DataFrame:
     """The first ``depth`` rows per segment. The row limit is applied before the shuffle."""
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy(*segment).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*segment).orderBy(*sort_columns(order)))
     return df.withColumn("_row", rank).where(F.col("_row") <= depth).withColumn("_rank", F.col("_row") - 1).drop("_row")
 
 

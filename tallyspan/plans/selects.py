@@ -6,7 +6,7 @@ from tallyspan.functions import expr as e
 from tallyspan.functions.granularity import granularity
 from tallyspan.operators import intervals as iv
 from tallyspan.operators import select as s
-from tallyspan.operators.ordered import with_position
+from tallyspan.operators.ordered import Desc, with_position
 from tallyspan.plans.registry import query
 
 c = F.col
@@ -362,7 +362,7 @@ def merge_topk(t):
 )
 def order_desc(t):
     rows = t.orders.select("o_orderkey", "o_orderdate")
-    return with_position(rows, [], [F.desc("o_orderdate"), F.desc("o_orderkey")], "place")
+    return with_position(rows, [], [Desc("o_orderdate"), Desc("o_orderkey")], "place")
 
 
 @query("union_all", f"SELECT {', '.join(LINE)} FROM lineitem")

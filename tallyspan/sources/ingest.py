@@ -239,5 +239,12 @@ def text_to_long(c: Column) -> Column:
 
 def exact_long(c: Column) -> Column:
     """Text → long if it is integral and in range, else null."""
-    d = c.try_cast("decimal(38,18)")
-    return F.when(c.rlike(r"^[+-]?\d+$"), c.try_cast("long")).when(d == F.floor(d), d.try_cast("long"))
+    # plain digits, with a fraction of zeros at most, need no decimal; only exponents go that way
+    whole = F.regexp_extract(c, r"^([+-]?\d+)(?:\.0*)?$", 1)
+    in_reach = (F.length(whole) > 0) & (F.length(whole) <= 18)
+    d = F.when(c.rlike(r"^[+-]?[\d.]+[eE][+-]?\d+$"), c).try_cast("decimal(38,18)")
+    return (
+        F.when(in_reach, F.when(in_reach, whole).cast("long"))
+        .when(F.length(whole) > 0, whole.try_cast("long"))
+        .when(d == F.floor(d), d.try_cast("long"))
+    )
