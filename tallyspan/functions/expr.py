@@ -17,6 +17,9 @@ from pyspark.sql.functions import pandas_udf
 
 LONG, DOUBLE, STRING = "long", "double", "string"
 
+# Fixed value: the shape of a double in text.
+NUMBER = r"^\s*[+-]?(NaN|Infinity|(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)\s*$"
+
 
 def _nan() -> Column:
     return F.lit(float("nan"))
@@ -30,6 +33,14 @@ def empty_to_null(c: Column) -> Column:
     return F.when(c != "", c)
 
 
+def number_text(c: Column) -> Column:
+    """The text if it has the shape of a number, else null.
+
+    Tested before a cast, because a cast that fails costs an exception per row.
+    """
+    return F.when(c.rlike(NUMBER), c)
+
+
 def null_to_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
@@ -66,7 +77,7 @@ class Typed:
     def as_double(self) -> Typed:
         if self.kind == DOUBLE:
             return self
-        c = self.col.try_cast("double") if self.kind == STRING else self.col.cast("double")
+        c = number_text(self.col).try_cast("double") if self.kind == STRING else self.col.cast("double")
         return Typed(F.coalesce(c, F.lit(0.0)), DOUBLE)
 
     def as_string(self) -> Typed:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyspan.functions.expr import empty_to_null, null_to_empty
+from tallyspan.functions.expr import empty_to_null, null_to_empty, number_text
 from tallyspan.functions.granularity import Granularity
 
 Transform = Callable[[Column], Column]
@@ -82,7 +82,7 @@ def bucket(size: float = 1.0, offset: float = 0.0) -> Transform:
     """Lower edge of the bucket of a number, as text; whole edges print without a fraction."""
 
     def run(c: Column) -> Column:
-        v = c.try_cast("double")
+        v = number_text(c.cast("string")).try_cast("double")
         edge = F.floor((v - F.lit(float(offset))) / F.lit(float(size))) * F.lit(float(size)) + F.lit(float(offset))
         whole = edge.try_cast("long")
         return F.when(edge == whole.cast("double"), whole.cast("string")).otherwise(edge.cast("string"))

@@ -8,7 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyspan.operators.ordered import SLICE, SPOT, join_slices, place, slice_totals, slices_before
+from tallyspan.operators.ordered import SLICE, SPOT, join_slices, place, slice_totals, slices_before, with_running
+from tallyspan.session import materialise
 
 # Up to this many literal ranges are written into the filter, where they reach the Parquet scan.
 LITERAL_RANGES = 200
@@ -87,39 +88,43 @@ def clip(df: DataFrame, lo, hi, start: str = "start", end: str = "end") -> DataF
     )
 
 
-def overlapping(left: DataFrame, right: DataFrame, key: list[str], row: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Rows of ``left`` whose interval overlaps any interval of ``right`` with the same key.
+def _meets(rows: DataFrame, at: str, inclusive: bool, intervals: DataFrame, key: list[str]) -> DataFrame:
+    """Rows with ``_reach``: the latest end among intervals of the same key that start before ``at``.
 
-    ``row`` names the columns that identify a left row. The right side is condensed first, so it is
-    disjoint per key; both sides then meet on (key, day): an equality join, not a loop over all
-    pairs of one key. A left row that meets on several days is kept once.
+    One merge of both sides in time order with a running maximum. No pairs are formed, and a hot key
+    spreads over many slices. ``inclusive`` counts an interval that starts exactly at ``at``.
     """
-    r = condense(right, key, start, end)
-    r = r.select(
-        *[F.col(k).alias(f"_k_{k}") for k in key],
-        F.col("start").alias("_rs"),
-        F.col("end").alias("_re"),
-        F.explode(_days(F.col("start"), F.col("end"))).alias("_rd"),
-    )
-    cells = left.withColumn("_ld", F.explode(_days(F.col(start), F.col(end))))
-    on = (cells["_ld"] == r["_rd"]) & (cells[start] < r["_re"]) & (r["_rs"] < cells[end])
-    for k in key:
-        on = on & (cells[k] == r[f"_k_{k}"])
-    return cells.join(r, on, "left_semi").dropDuplicates(row).drop("_ld")
+    starts = intervals.groupBy(*key, F.col("start").alias("_at")).agg(F.max("end").alias("_end"))
+    side = 0 if inclusive else 1
+    marks = starts.withColumns({"_side": F.lit(side), "_tie": F.lit(0).cast("long")})
+    looks = rows.withColumns({"_at": F.col(at), "_side": F.lit(1 - side), "_tie": F.xxhash64(*rows.columns)})
+    both = looks.unionByName(marks, allowMissingColumns=True)
+    reached = with_running(both, key, ["_at", "_side", "_tie"], "_reach", F.col("_end"), how="max")
+    return reached.where(F.col("_side") == 1 - side).drop("_at", "_side", "_tie", "_end")
 
 
-def _days(start: Column, end: Column) -> Column:
-    """Days that a non-empty ``[start, end)`` touches."""
-    last = F.to_date(end - F.expr("interval 1 microsecond"))
-    return F.when(start < end, F.sequence(F.to_date(start), last)).otherwise(F.array().cast("array<date>"))
+def overlapping(left: DataFrame, right: DataFrame, key: list[str], start: str = "start", end: str = "end") -> DataFrame:
+    """Rows of ``left`` whose interval overlaps any interval of ``right`` with the same key.
+
+    That is so when, of the right intervals that start before the left one ends, the latest end is
+    after the left start.
+    """
+    r = right.select(*key, F.col(start).alias("start"), F.col(end).alias("end")).where(F.col("start") < F.col("end"))
+    rows = left.where(F.col(start) < F.col(end))
+    return _meets(rows, end, False, r, key).where(F.col("_reach") > F.col(start)).drop("_reach")
 
 
 def in_interval_table(df: DataFrame, ts: str, intervals: DataFrame) -> DataFrame:
-    """Rows whose time is in any interval of a table, each row once, for tables of any size."""
-    r = condense(intervals, [])
-    r = r.select(F.col("start").alias("_rs"), F.col("end").alias("_re"), F.explode(_days(F.col("start"), F.col("end"))).alias("_rd"))
-    t = F.col(ts)
-    return df.join(r, (F.to_date(t) == r["_rd"]) & (t >= r["_rs"]) & (t < r["_re"]), "left_semi")
+    """Rows whose time is in any interval of a table, each row once.
+
+    The table is condensed. If few intervals are left they are written into the scan filter;
+    otherwise both sides are merged in time order.
+    """
+    table = materialise(condense(intervals, []), "intervals")
+    few = table.limit(LITERAL_RANGES + 1).collect()
+    if len(few) <= LITERAL_RANGES:
+        return df.where(within_any(F.col(ts), [(r["start"], r["end"]) for r in few]))
+    return _meets(df, ts, True, table, []).where(F.col("_reach") > F.col(ts)).drop("_reach")
 
 
 def in_intervals(df: DataFrame, ts: str, intervals: Sequence[tuple]) -> DataFrame:

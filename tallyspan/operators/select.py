@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable
+from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tallyspan.functions.granularity import Granularity
 from tallyspan.operators.intervals import in_intervals
@@ -15,6 +17,7 @@ TIME = "__time"
 
 # Pages that end at or below this row of a segment are found by a bounded top-n per segment.
 SHALLOW_PAGE = 1000
+SALTS = 64
 
 
 # filters: two-valued, so that NOT of an unmatched null is true -----------------------------------
@@ -178,12 +181,23 @@ def bucketed_select(df: DataFrame, ts: str, gran: Granularity, start: str, end:
     """
     lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     rows = df.where((F.col(ts) >= lo) & (F.col(ts) < hi)).withColumn("bucket", gran.start(F.col(ts)))
-    series = df.sparkSession.range(1).select(F.explode(gran.covering(lo, hi)).alias("bucket"))
+    series = bucket_table(df.sparkSession, gran, start, end)
     gaps = series.join(rows.select("bucket").distinct(), "bucket", "left_anti")
     blank = gaps.select("bucket", *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
     return rows.select("bucket", *df.columns).unionByName(blank)
 
 
+def bucket_table(spark: SparkSession, gran: Granularity, start: str, end: str) -> DataFrame:
+    """All buckets that meet ``[start, end)``, one day of them per input row, so that fine buckets
+    over a long interval are made in parallel."""
+    lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    days = max(1, math.ceil((datetime.fromisoformat(end) - datetime.fromisoformat(start)) / timedelta(days=1)))
+    first = lo + F.make_interval(days=F.col("id").cast("int"))
+    after = F.least(first + F.expr("interval 1 day"), hi)
+    mine = F.filter(gran.covering(first, after), lambda b: (b >= first) | (F.col("id") == 0))
+    return spark.range(days).select(F.explode(mine).alias("bucket"))
+
+
 # paging ------------------------------------------------------------------------------------------------
 
 
@@ -232,9 +246,21 @@ def page(
 
 
 def _shallow(df: DataFrame, segment: list[str], order: list, depth: int) -> DataFrame:
-    """The first ``depth`` rows per segment. The row limit is applied before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy(*segment).orderBy(*sort_columns(order)))
-    return df.withColumn("_row", rank).where(F.col("_row") <= depth).withColumn("_rank", F.col("_row") - 1).drop("_row")
+    """The first ``depth`` rows per segment.
+
+    Each map task keeps at most ``depth`` rows of a segment before the shuffle. They meet first per
+    (segment, salt) and then per segment, so the last step sees ``SALTS * depth`` rows of a hot
+    segment however many tasks it came from.
+    """
+    tie = order[-1].key if isinstance(order[-1], Desc) else order[-1]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(SALTS)))
+
+    def top(rows, keys):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_columns(order)))
+        return rows.withColumn("_row", rank).where(F.col("_row") <= depth)
+
+    first = top(salted, [*segment, "_salt"]).drop("_row", "_salt")
+    return top(first, segment).withColumn("_rank", F.col("_row") - 1).drop("_row")
 
 
 def paging_identifiers(pages: DataFrame, segment: list[str], descending: bool = False) -> DataFrame:

@@ -246,7 +246,7 @@ def intervals_overlap(t):
     shipped = t.lineitem.select("l_orderkey", "l_shipdate").join(
         t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
     ).select("o_custkey", F.col("l_shipdate").alias("start"), F.expr("l_shipdate + interval 1 day").alias("end"))
-    return iv.overlapping(_order_intervals(t), shipped, ["o_custkey"], ["o_orderkey"]).select("o_custkey", "o_orderkey")
+    return iv.overlapping(_order_intervals(t), shipped, ["o_custkey"]).select("o_custkey", "o_orderkey")
 
 
 @query(

@@ -9,12 +9,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from tallyspan.functions.expr import number_text
+
 # Default delimiters between fields and between list elements.
 TAB = "\t"
 CTRL_A = "\u0001"
 
 REASON = "_reason"
 
+# A table of one row per file is broadcast up to this many bytes.
+BROADCAST_BYTES = 128 * 1024 * 1024
+
 
 def check_names(names: list[str]) -> None:
     """Duplicate field names, in any case, are an error."""
@@ -73,6 +78,9 @@ def read_delimited_files(
         F.monotonically_increasing_id().alias("_id"),
     )
     begins = lines.where("_block = 0").groupBy("_file").agg(F.min("_id").alias("_begin"))
+    # one row per file; sent to all tasks only while its measured size allows
+    size = begins.agg(F.sum(F.length("_file") + 32)).first()[0] or 0
+    begins = F.broadcast(begins) if size <= BROADCAST_BYTES else begins
     placed = lines.join(begins, "_file").withColumn("_line", F.when(F.col("_block") == 0, F.col("_id") - F.col("_begin")))
     if has_header:
         heads = placed.where(F.col("_line") == skip).select("value").distinct().limit(2).collect()
@@ -228,7 +236,7 @@ def _number_text(c: Column) -> Column:
 
 def text_to_number(c: Column) -> Column:
     """Metric text as a double: commas dropped; null is 0; text that is no number is null (a reject)."""
-    return F.when(c.isNull(), F.lit(0.0)).otherwise(_number_text(c).try_cast("double"))
+    return F.when(c.isNull(), F.lit(0.0)).otherwise(number_text(_number_text(c)).try_cast("double"))
 
 
 def text_to_long(c: Column) -> Column:
@@ -238,13 +246,13 @@ def text_to_long(c: Column) -> Column:
 
 
 def exact_long(c: Column) -> Column:
-    """Text → long if it is integral and in range, else null."""
-    # plain digits, with a fraction of zeros at most, need no decimal; only exponents go that way
-    whole = F.regexp_extract(c, r"^([+-]?\d+)(?:\.0*)?$", 1)
-    in_reach = (F.length(whole) > 0) & (F.length(whole) <= 18)
+    """Text → long if it is integral and in range, else null.
+
+    The range is checked on the digits before the cast: a cast that fails costs an exception per row.
+    """
+    text = F.substring_index(F.when(c.rlike(r"^[+-]?\d+(\.0*)?$"), c), ".", 1)
+    digits = F.regexp_replace(text, "^[+-]?0*", "")
+    largest = F.when(text.startswith("-"), "9223372036854775808").otherwise("9223372036854775807")
+    fits = (F.length(text) <= 18) | (F.length(digits) < 19) | ((F.length(digits) == 19) & (digits <= largest))
     d = F.when(c.rlike(r"^[+-]?[\d.]+[eE][+-]?\d+$"), c).try_cast("decimal(38,18)")
-    return (
-        F.when(in_reach, F.when(in_reach, whole).cast("long"))
-        .when(F.length(whole) > 0, whole.try_cast("long"))
-        .when(d == F.floor(d), d.try_cast("long"))
-    )
+    return F.when(fits, F.when(fits, text).cast("long")).when(d == F.floor(d), d.try_cast("long"))
