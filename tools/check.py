@@ -1,105 +1,37 @@
-"""Run registered queries next to their SQL and compare types and values.
+"""Run registered queries next to their SQL.
 
-usage: python tools/check.py [sf] [key-prefix,key-prefix,…]
+usage: python tools/check.py [scale] [key-prefix,key-prefix,…]
 """
 
-import datetime
-import decimal
-import importlib
 import os
 import sys
 import time
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
-import duckdb
+import oracle
 
-from tallyspan.plans.registry import ORACLES, QUERIES
+import tallyspan.plans as plans
 from tallyspan.session import local_session
-from tallyspan.tables import SCHEMAS
-
-TYPES = {
-    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
-    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
-}
-
-
-def plain(v):
-    if isinstance(v, decimal.Decimal):
-        return ("dec", str(v.normalize()))
-    if isinstance(v, float):
-        return "nan" if v != v else v
-    if isinstance(v, (list, tuple)):
-        return tuple(plain(x) for x in v)
-    return v
 
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    only = sys.argv[2].split(",") if len(sys.argv) > 2 else None
-    modules = sys.argv[3].split(",") if len(sys.argv) > 3 else None
-    if modules:
-        for m in modules:
-            importlib.import_module(f"tallyspan.plans.{m}")
-    else:
-        importlib.import_module("tallyspan.plans")
+    only = sys.argv[2].split(",") if len(sys.argv) > 2 else [""]
     sf_dir = f"/root/testdata/sf{sf}"
     spark = local_session("8")
     spark.sparkContext.setLogLevel("ERROR")
-    con = duckdb.connect()
-    for t in SCHEMAS:
-        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    con = oracle.connect(sf_dir)
     bad = []
-    for key in QUERIES:
-        if only and not any(key.startswith(p) for p in only):
-            continue
-        t0 = time.time()
-        try:
-            df = QUERIES[key](spark, sf_dir)
-            rows = df.collect()
-        except Exception as e:
-            print(f"FAIL {key}: spark {str(e)[:700]}")
-            bad.append(key)
-            continue
-        dt = time.time() - t0
-        if key not in ORACLES:
-            print(f"rows {key}: {len(rows)} rows {dt:.2f}s (no SQL)")
-            if not rows:
-                bad.append(key)
+    for key in plans.QUERIES:
+        if not any(key.startswith(p) for p in only):
             continue
-        t1 = time.time()
+        start = time.time()
         try:
-            cur = con.execute(ORACLES[key])
-            names = [d[0] for d in cur.description]
-            types = [str(d[1]) for d in cur.description]
-            want = cur.fetchall()
+            n, notes = oracle.differences(spark, con, sf_dir, key)
         except Exception as e:
-            print(f"FAIL {key}: sql {str(e)[:500]}")
-            bad.append(key)
-            continue
-        sql_dt = time.time() - t1
-        got_t = dict(df.dtypes)
-        want_t = dict(zip(names, types))
-        notes = []
-        if set(got_t) != set(want_t):
-            notes.append(f"columns {sorted(got_t)} != {sorted(want_t)}")
-        else:
-            for n in got_t:
-                if TYPES.get(got_t[n], got_t[n].upper().replace(" ", "")) != want_t[n].upper().replace(" ", ""):
-                    notes.append(f"type {n}: {got_t[n]} != {want_t[n]}")
-            order = sorted(got_t)
-            gi = [df.columns.index(n) for n in order]
-            wi = [names.index(n) for n in order]
-            got = sorted((tuple(plain(r[i]) for i in gi) for r in rows), key=repr)
-            exp = sorted((tuple(plain(r[i]) for i in wi) for r in want), key=repr)
-            if len(got) != len(exp):
-                notes.append(f"rows {len(got)} != {len(exp)}")
-            if got != exp:
-                gs, es = set(got), set(exp)
-                notes.append(f"values {order}\n   only spark {sorted(gs - es, key=repr)[:3]}\n   only sql   {sorted(es - gs, key=repr)[:3]}")
-            if not got:
-                notes.append("empty result")
-        print(f"{'FAIL' if notes else 'ok'} {key}: {len(rows)} rows {dt:.2f}s sql {sql_dt:.2f}s {'; '.join(notes)}", flush=True)
+            n, notes = 0, [str(e)[:600]]
+        print(f"{'FAIL' if notes else 'ok'} {key}: {n} rows {time.time() - start:.2f}s {'; '.join(notes)}", flush=True)
         if notes:
             bad.append(key)
     print("BAD:", bad)
