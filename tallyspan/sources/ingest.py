@@ -102,11 +102,10 @@ def discover_json_fields(lines: DataFrame, column: str) -> dict[str, str]:
     """
     kv = lines.select(F.try_parse_json(F.col(column)).alias("_v")).where(F.col("_v").isNotNull())
     fields = kv.lateralJoin(kv.sparkSession.tvf.variant_explode(F.col("_v").outer())).select(
-        F.col("key"), F.schema_of_variant(F.col("value")).alias("kind")
+        F.col("key"), F.schema_of_variant(F.col("value")).alias("kind"), _is_flat_list(F.col("value")).alias("flat_list")
     )
-    kinds = F.col("kind")
+    kinds, flat_list = F.col("kind"), F.col("flat_list")
     number = kinds.rlike("^(DECIMAL|DOUBLE|FLOAT)")
-    flat_list = kinds.rlike("^ARRAY<") & ~kinds.rlike("^ARRAY<(ARRAY|OBJECT|VARIANT)")
     scalar = ~kinds.rlike("^(OBJECT|ARRAY|VOID|NULL)")
     rows = (
         fields.groupBy("key")
@@ -137,17 +136,26 @@ def json_rows(lines: DataFrame, column: str, fields: dict[str, str] | None = Non
     return lines.withColumn("_v", v).select(*kept, *[_variant(F.col("_v"), _root_path(k), t).alias(k) for k, t in fields.items()])
 
 
+def _is_flat_list(v: Column) -> Column:
+    """A list without lists or objects in it."""
+    parts = F.try_variant_get(F.when(F.schema_of_variant(v).startswith("ARRAY"), v), "$", "array<variant>")
+    nested = F.exists(parts, lambda x: F.coalesce(F.schema_of_variant(x).rlike("^(OBJECT|ARRAY)"), F.lit(False)))
+    return F.coalesce(~nested, F.lit(False))
+
+
 def _root_path(key: str) -> str:
     return "$['" + key.replace("'", "\\'") + "']"
 
 
 def _variant(v: Column, path: str, kind: str) -> Column:
+    """A root field by type; text and list fields are null where the value is nested."""
     got = F.try_variant_get(v, path, kind)
+    if kind not in ("string", "array<string>"):
+        return got
+    value = F.try_variant_get(v, path, "variant")
     if kind == "string":
-        # objects and lists would come as JSON text
-        whole = F.schema_of_variant(F.try_variant_get(v, path, "variant"))
-        return F.when(~whole.rlike("^(OBJECT|ARRAY)"), got)
-    return got
+        return F.when(~F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), got)
+    return F.when(_is_flat_list(value), got)
 
 
 def flatten_root(c: Column, key: str, kind: str = "string") -> Column:
