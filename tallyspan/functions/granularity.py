@@ -9,6 +9,7 @@ import re
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 from functools import reduce
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -277,24 +278,24 @@ def with_stepped_bucket(df: DataFrame, ts: str, period: Period, name: str = "buc
     touches) — its size follows the time range only — joined to the rows on the day.
     """
     spark = df.sparkSession
-    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    lo, hi = df.agg(F.unix_micros(F.min(ts)), F.unix_micros(F.max(ts))).first()
     if lo is None:
         return df.withColumn(name, F.lit(None).cast("timestamp"))
-    starts = _boundaries(spark, period, lo, hi)
+    starts = _boundaries(period, lo, hi)
     bounds = (
-        spark.createDataFrame([(a, b) for a, b in zip(starts, starts[1:])], "_from timestamp, _to timestamp")
+        spark.createDataFrame(list(zip(starts, starts[1:])), "_from long, _to long")
+        .withColumns({c: F.timestamp_micros(c) for c in ("_from", "_to")})
         .withColumn("_day", F.explode(F.sequence(F.to_date("_from"), F.to_date("_to"))))
     )
     hit = (F.to_date(F.col(ts)) == bounds["_day"]) & (F.col(ts) >= bounds["_from"]) & (F.col(ts) < bounds["_to"])
     return df.join(bounds, hit, "left").withColumn(name, F.col("_from")).drop("_from", "_to", "_day")
 
 
-def _boundaries(spark, period: Period, lo: datetime, hi: datetime) -> list[datetime]:
-    """Start times from the origin on (both ways), by adding the period to the wall clock."""
-    from zoneinfo import ZoneInfo
-
+def _boundaries(period: Period, low: int, high: int) -> list[int]:
+    """Bucket starts around a range of instants, by adding the period to the wall clock from the origin."""
     zone = ZoneInfo(period.zone)
-    lo, hi = (t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t for t in (lo, hi))
+    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    lo, hi = (epoch + timedelta(microseconds=t) for t in (low, high))
     if period.origin:
         o = datetime.fromisoformat(period.origin.replace("Z", "+00:00"))
         at = (o if o.tzinfo else o.replace(tzinfo=timezone.utc)).astimezone(zone)
@@ -317,7 +318,7 @@ def _boundaries(spark, period: Period, lo: datetime, hi: datetime) -> list[datet
     while out[0] > lo:
         out.insert(0, step(out[0], -1))
     kept = [t for i, t in enumerate(out) if i + 1 >= len(out) or out[i + 1] > lo]
-    return [t.astimezone(timezone.utc).replace(tzinfo=None) for t in kept]
+    return [(t - epoch) // timedelta(microseconds=1) for t in kept]
 
 
 def _depth(name: str) -> int:

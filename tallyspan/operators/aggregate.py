@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
 # What an empty or null-only minimum or maximum starts from.
 LONG_MAX = 9223372036854775807
@@ -172,17 +173,25 @@ def cardinality_by_row(name: str, columns: list[Column], rounded: bool = False)
     return _sketched(name, row_key_text(columns), rounded)
 
 
+def cardinality_by_value(name: str, columns: list[Column], rounded: bool = False) -> Aggregator:
+    """Approximate number of distinct values pooled over several columns; null counts as a value.
+
+    One sketch per column, united in the same pass, so rows are not multiplied.
+    """
+    one = _sketched(name, _present(columns[0]), rounded)
+
+    def state(on):
+        sketches = [F.hll_sketch_agg(on(_present(c)), F.lit(SKETCH_LOG2)) for c in columns]
+        return reduce(lambda a, b: F.hll_union(a, b), sketches)
+
+    return _make(name, state, one.combine, one.finish)
+
+
 def hyper_unique(name: str, value: Column, rounded: bool = False) -> Aggregator:
     """Approximate number of distinct non-null values; the sketch is kept until it is finished."""
     return _sketched(name, value.cast("string"), rounded)
 
 
-def pooled(df: DataFrame, columns: list[str], name: str = "value") -> DataFrame:
-    """One row per value over several columns, for a cardinality over pooled values."""
-    others = [c for c in df.columns if c not in columns]
-    return df.select(*others, F.explode(F.array(*[_present(F.col(c)) for c in columns])).alias(name))
-
-
 def histogram_bin(value: Column, breaks: list[float]) -> Column:
     """Bin number of a value compared as a 32-bit float; a value equal to a break is in the lower bin."""
     v = value.cast("float")

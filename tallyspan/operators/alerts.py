@@ -39,7 +39,7 @@ def route(requests: DataFrame) -> DataFrame:
     known = F.coalesce(F.col("remote_type").isin(*REMOTE_TYPES), F.lit(False))
     is_files = (F.col("type") == FILE_REQUEST) & has_files
     way = F.when(is_files & known, "files").when(is_files, "reject").otherwise("body")
-    reason = F.when(is_files & ~known, F.concat(F.lit("Not found remote type ["), F.coalesce("remote_type", F.lit("null")), F.lit("] execution.")))
+    reason = F.when(is_files & ~known, F.concat(F.lit("unknown remote type: "), F.coalesce("remote_type", F.lit("none"))))
     return requests.withColumns({"route": way, "reason": reason})
 
 

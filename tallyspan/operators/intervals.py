@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -15,10 +15,25 @@ from tallyspan.session import materialise
 LITERAL_RANGES = 200
 
 
-def condense_literals(intervals: Sequence[tuple[datetime, datetime]]) -> list[tuple[datetime, datetime]]:
-    """Query arguments merged where they overlap or touch."""
-    out: list[tuple[datetime, datetime]] = []
-    for lo, hi in sorted(intervals):
+def micros_of(t: datetime | str | int) -> int:
+    """An instant given as text, datetime (both in UTC unless they carry a zone) or microseconds."""
+    if isinstance(t, int):
+        return t
+    if isinstance(t, str):
+        t = datetime.fromisoformat(t.replace("Z", "+00:00"))
+    t = t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t
+    return (t - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+
+
+def instant(t: datetime | str | int) -> Column:
+    """A literal instant, whatever zone the driver runs in."""
+    return F.timestamp_micros(F.lit(micros_of(t)).cast("long"))
+
+
+def condense_literals(intervals: Sequence[tuple]) -> list[tuple[int, int]]:
+    """Query arguments in microseconds, merged where they overlap or touch."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted((micros_of(a), micros_of(b)) for a, b in intervals):
         if out and lo <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], hi))
         else:
@@ -28,7 +43,7 @@ def condense_literals(intervals: Sequence[tuple[datetime, datetime]]) -> list[tu
 
 def within(ts: Column, start, end) -> Column:
     """``start <= ts < end`` on the bare column, so that it is pushed into the scan."""
-    return (ts >= F.lit(start).cast("timestamp")) & (ts < F.lit(end).cast("timestamp"))
+    return (ts >= instant(start)) & (ts < instant(end))
 
 
 def within_any(ts: Column, intervals: Sequence[tuple]) -> Column:
@@ -80,7 +95,7 @@ def umbrella(df: DataFrame, group: list[str], start: str = "start", end: str = "
 
 def clip(df: DataFrame, lo, hi, start: str = "start", end: str = "end") -> DataFrame:
     """Intersection with ``[lo, hi)``; rows that do not meet it are left out."""
-    lo, hi = F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp")
+    lo, hi = instant(lo), instant(hi)
     return (
         df.where((F.col(start) < hi) & (F.col(end) > lo))
         .withColumns({start: F.greatest(F.col(start), lo), end: F.least(F.col(end), hi)})
@@ -121,9 +136,9 @@ def in_interval_table(df: DataFrame, ts: str, intervals: DataFrame) -> DataFrame
     otherwise both sides are merged in time order.
     """
     table = materialise(condense(intervals, []), "intervals")
-    few = table.limit(LITERAL_RANGES + 1).collect()
+    few = table.select(F.unix_micros("start"), F.unix_micros("end")).limit(LITERAL_RANGES + 1).collect()
     if len(few) <= LITERAL_RANGES:
-        return df.where(within_any(F.col(ts), [(r["start"], r["end"]) for r in few]))
+        return df.where(within_any(F.col(ts), [tuple(r) for r in few]))
     return _meets(df, ts, True, table, []).where(F.col("_reach") > F.col(ts)).drop("_reach")
 
 
@@ -131,5 +146,5 @@ def in_intervals(df: DataFrame, ts: str, intervals: Sequence[tuple]) -> DataFram
     """Rows in any of the given intervals: a pushed-down filter, or a join when there are many."""
     if len(intervals) <= LITERAL_RANGES:
         return df.where(within_any(F.col(ts), intervals))
-    table = df.sparkSession.createDataFrame(list(intervals), "start timestamp, end timestamp")
-    return in_interval_table(df, ts, table)
+    table = df.sparkSession.createDataFrame(condense_literals(intervals), "a long, z long")
+    return in_interval_table(df, ts, table.select(F.timestamp_micros("a").alias("start"), F.timestamp_micros("z").alias("end")))

@@ -79,12 +79,12 @@ def validate(aggregators: Iterable, post: dict[str, Iterable[str]], others: Iter
     known = list(others)
     for a in aggregators:
         if a.name in known:
-            raise ValueError(f"[{a.name}] already defined")
+            raise ValueError(f"two columns are named {a.name}")
         known.append(a.name)
     for name, needs in post.items():
         missing = [n for n in needs if n not in known]
         if missing:
-            raise ValueError(f"Missing fields {missing} for postAggregator [{name}]")
+            raise ValueError(f"{name} reads columns that are not there: {missing}")
         if name in known:
-            raise ValueError(f"[{name}] already defined")
+            raise ValueError(f"two columns are named {name}")
         known.append(name)

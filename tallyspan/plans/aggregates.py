@@ -169,11 +169,12 @@ def agg_cardinality_row(t):
     """,
 )
 def agg_cardinality_value(t):
-    values = a.pooled(t.part.select("p_size", "p_brand", "p_type", "p_name"), ["p_brand", "p_type", "p_name"])
-    states = values.groupBy("p_size").agg(
-        a.hyper_unique("estimate", c("value")).partial.alias("estimate"), F.count_distinct("value").alias("exact")
-    )
-    return states.select("p_size", "exact", _close(F.hll_sketch_estimate("estimate"), c("exact")).alias("close"))
+    names = ["p_brand", "p_type", "p_name"]
+    n = a.cardinality_by_value("estimate", [c(x) for x in names])
+    states = t.part.groupBy("p_size").agg(n.partial.alias(n.name))
+    values = t.part.select("p_size", F.explode(F.array(*names)).alias("value"))
+    exact = values.groupBy("p_size").agg(F.count_distinct("value").alias("exact"))
+    return states.join(exact, "p_size").select("p_size", "exact", _close(n.final(), c("exact")).alias("close"))
 
 
 @query(

@@ -77,7 +77,7 @@ def alert_outbox(t):
     "alert_dispatch",
     f"""
     WITH {REQUESTS} SELECT request_id, CASE WHEN type = 'remote_file' AND k >= 2 THEN CASE WHEN remote_type = 'sftp' THEN 'files' ELSE 'reject' END ELSE 'body' END AS route,
-      CASE WHEN type = 'remote_file' AND k >= 2 AND remote_type <> 'sftp' THEN 'Not found remote type [' || remote_type || '] execution.' END AS reason FROM r
+      CASE WHEN type = 'remote_file' AND k >= 2 AND remote_type <> 'sftp' THEN 'unknown remote type: ' || remote_type END AS reason FROM r
     """,
 )
 def alert_dispatch(t):

@@ -4,11 +4,10 @@ The database ends of the JDBC jobs need a database; what is registered here is t
 the range plan over the whole table, the typed rows and the replace rules.
 """
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from tallyspan.functions import hivetypes as ht
+from tallyspan.operators.intervals import within
 from tallyspan.operators.ordered import with_position
 from tallyspan.plans.registry import query
 from tallyspan.session import scratch_path
@@ -71,11 +70,10 @@ def default_split_key(t):
     "SELECT o_orderkey, o_custkey, o_totalprice, 'orders_' || year(o_orderdate) AS source_table FROM orders",
 )
 def wildcard_union(t):
-    lo, hi = t.orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    lo, hi = t.orders.agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
     tables = {}
-    for year in range(lo.year, hi.year + 1):
-        first, after = (F.lit(datetime(y, 1, 1)).cast("timestamp") for y in (year, year + 1))
-        tables[f"orders_{year}"] = t.orders.where((c("o_orderdate") >= first) & (c("o_orderdate") < after))
+    for year in range(lo, hi + 1):
+        tables[f"orders_{year}"] = t.orders.where(within(c("o_orderdate"), f"{year}-01-01", f"{year + 1}-01-01"))
     tables["customer"] = t.customer
     union = tr.wildcard_union(t.spark, "orders_%", list(tables), tables.get)
     return union.select("o_orderkey", "o_custkey", "o_totalprice", "source_table")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -28,6 +29,25 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
+def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings to submit a job with, from the size of its input and the cores of the cluster.
+
+    Shuffle partitions of about 200 MB before adaptive execution merges the small ones, at least
+    three per core; skewed joins are split; large streaming state goes to disk.
+    """
+    partitions = max(3 * cores, math.ceil(input_bytes / (200 * 1024 * 1024)))
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200m",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """All bucketing is defined on UTC instants, so the session zone has to be UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

@@ -25,7 +25,7 @@ def check_names(names: list[str]) -> None:
     """Duplicate field names, in any case, are an error."""
     twice = [n for n, k in Counter(n.lower() for n in names).items() if k > 1]
     if twice:
-        raise ValueError(f"Duplicate column entries found : {sorted(twice)}")
+        raise ValueError(f"columns named twice: {sorted(twice)}")
 
 
 def generated_names(width: int) -> list[str]:
@@ -214,7 +214,7 @@ def split_rejects(df: DataFrame, reasons: dict[str, Column], strict: bool = Fals
         reason = F.when(F.coalesce(bad, F.lit(False)), F.lit(name)).otherwise(reason)
     tagged = df.withColumn(REASON, reason)
     if strict:
-        checked = F.when(F.col(REASON).isNotNull(), F.raise_error(F.concat(F.lit("Unparseable row: "), F.col(REASON))))
+        checked = F.when(F.col(REASON).isNotNull(), F.raise_error(F.concat(F.lit("row rejected: "), F.col(REASON))))
         tagged = tagged.withColumn(REASON, checked.cast("string"))
     return tagged.where(F.col(REASON).isNull()).drop(REASON), tagged.where(F.col(REASON).isNotNull())
 

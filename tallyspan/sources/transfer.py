@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 # Field separator and null marker of exported lines, and the zone of exported times.
 SEPARATOR = "\u0001"
@@ -70,6 +70,13 @@ def write_partitioned(df: DataFrame, path: str, parts: list[str], mode: str = "e
     df.hint("rebalance", *[F.col(p) for p in parts]).write.mode(mode).format(fmt).partitionBy(*parts).save(path)
 
 
+def write_audited(df: DataFrame, path: str, parts: list[str]) -> int:
+    """Partitioned write that counts its rows while it writes; no second pass over the data."""
+    seen = Observation()
+    write_partitioned(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, parts)
+    return seen.get["rows"]
+
+
 def replace_partitions(df: DataFrame, path: str, parts: list[str]) -> None:
     """Replace exactly the partitions that ``df`` has rows for; the others stay."""
     (

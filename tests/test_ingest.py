@@ -77,7 +77,7 @@ def test_rejects(spark):
     assert [r["v"] for r in good.collect()] == [1]
     assert {r[i.REASON] for r in bad.collect()} == {"null", "two"}
     good, _ = i.split_rejects(df, {"two": c("v") == 2}, strict=True)
-    with pytest.raises(Exception, match="Unparseable row: two"):
+    with pytest.raises(Exception, match="row rejected: two"):
         good.collect()
 
 

@@ -84,6 +84,13 @@ def test_replace_partitions_leaves_others(spark, tmp_path):
     assert sorted(x["id"] for x in spark.read.parquet(path).collect()) == [0, 2, 4, 6, 8, 100, 101]
 
 
+def test_audited_write(spark, tmp_path):
+    df = spark.range(100).withColumn("p", c("id") % 3)
+    assert tr.write_audited(df, str(tmp_path / "t"), ["p"]) == 100
+    counts = {tuple(x)[:4]: x["n"] for x in tr.audit(df.select(F.lit("s").alias("source"), F.lit("d").alias("date"), c("p").cast("string").alias("hour"))).collect()}
+    assert counts[("source", "s", None, None)] == 100 and counts[("date", "s", "d", None)] == 100 and counts[("hour", "s", "d", "0")] == 34
+
+
 def test_wildcards(spark):
     assert tr.like_pattern("orders_1997", "ORDERS_%") and not tr.like_pattern("x_orders", "orders%")
     spark.range(2).createOrReplaceTempView("part_a")
