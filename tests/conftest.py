@@ -43,3 +43,12 @@ def values(spark):
         return [tuple(r) for r in out]
 
     return run
+
+
+@pytest.fixture(params=["merged slices", "many slices"])
+def slices(spark, request):
+    """Small data ends in one slice, as adaptive execution merges the others: run with both."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, str(request.param == "merged slices").lower())
+    yield request.param
+    spark.conf.set(key, "true")

@@ -102,7 +102,7 @@ def test_outbox_and_routes(spark, t):
     assert [r["route"] for r in al.route(odd).collect()] == ["body", "reject", "body"]
 
 
-def test_size_limit(spark):
+def test_size_limit(spark, slices):
     df = spark.createDataFrame([("m", i, 400) for i in range(5)] + [("n", 0, 2000)], "m string, pos int, size long")
     got = {(r["m"], r["pos"]): (r["size_so_far"], r["accepted"]) for r in al.within_limit(df, ["m"], ["pos"], "size", limit=1200).collect()}
     assert got[("m", 2)] == (1200, True) and got[("m", 3)] == (1600, False) and got[("n", 0)] == (2000, False)

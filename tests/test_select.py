@@ -38,7 +38,7 @@ def ids(page, descending=False):
 
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("deep", [False, True])
-def test_pages_joined_equal_the_whole(rows, descending, deep, monkeypatch):
+def test_pages_joined_equal_the_whole(rows, slices, descending, deep, monkeypatch):
     if deep:
         monkeypatch.setattr(s, "SHALLOW_PAGE", 0)
     want, got, cursor = expected(rows, descending), {}, None
@@ -75,7 +75,7 @@ def test_merge_pages(rows):
     assert s.merge_pages(page, "ts", "segment", 0).count() == page.count()
 
 
-def test_positions_and_running(rows):
+def test_positions_and_running(rows, slices):
     want = expected(rows)
     got = {}
     for r in with_position(rows, ["segment"], ["ts", "id"]).collect():
@@ -93,6 +93,18 @@ def test_positions_and_running(rows):
             assert {r["id"]: r["so_far"] for r in run if r["segment"] == seg} == sums
 
 
+def test_a_hot_group_spreads_over_slices(spark, rows):
+    from tallyspan.operators.ordered import SLICE, place
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per = place(rows, ["segment"], ["ts", "id"]).groupBy("segment", SLICE).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = [r["count"] for r in per if r["segment"] == "hot"]
+    assert len(hot) >= 4 and max(hot) <= 900 / 8 * 2
+
+
 def test_filters_are_two_valued(spark):
     df = spark.createDataFrame([(1, "a", ["a", "b"]), (2, None, []), (3, "", None), (4, "b", ["c", None])], "id int, v string, l array<string>")
 

@@ -103,7 +103,7 @@ def brute_condense(spans):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_condense_hot_group(spark, seed):
+def test_condense_hot_group(spark, slices, seed):
     import random
 
     rnd = random.Random(seed)
@@ -123,14 +123,14 @@ def test_condense_hot_group(spark, seed):
     assert {k: sorted(v) for k, v in got.items()} == {k: brute_condense(v) for k, v in want.items()}
 
 
-def test_touching_intervals_merge_and_long_ones_span_slices(spark):
+def test_touching_intervals_merge_and_long_ones_span_slices(spark, slices):
     base = d("2024-01-01")
     rows = [(base, base + timedelta(days=400))] + [(base + timedelta(days=i), base + timedelta(days=i + 1)) for i in range(1, 500)]
     df = spark.createDataFrame(rows, "start timestamp, end timestamp")
     assert [tuple(r) for r in iv.condense(df, []).collect()] == [(base, base + timedelta(days=500))]
 
 
-def test_overlap_edges(spark):
+def test_overlap_edges(spark, slices):
     base = d("2024-01-01")
     h = lambda n: base + timedelta(hours=n)
     left = spark.createDataFrame([("a", 1, h(0), h(1)), ("a", 2, h(1), h(2)), ("a", 3, h(5), h(9)), ("b", 4, h(0), h(9)), ("a", 5, h(2), h(3))], "k string, id int, start timestamp, end timestamp")
@@ -139,7 +139,7 @@ def test_overlap_edges(spark):
     assert sorted(r["id"] for r in iv.overlapping(left, right, ["k"]).collect()) == [2, 3]
 
 
-def test_interval_table_small_and_large(spark, t, monkeypatch):
+def test_interval_table_small_and_large(spark, slices, t, monkeypatch):
     table = spark.createDataFrame([(d("2024-01-02"), d("2024-01-03")), (d("2024-01-02 12:00"), d("2024-01-04")), (d("2024-01-10"), d("2024-01-10 06:00"))], "start timestamp, end timestamp")
     small = sorted(r[0] for r in iv.in_interval_table(t.events, "ts", table).select("event_id").collect())
     monkeypatch.setattr(iv, "LITERAL_RANGES", 0)
@@ -147,3 +147,23 @@ def test_interval_table_small_and_large(spark, t, monkeypatch):
     lo, hi = d("2024-01-02"), d("2024-01-04")
     want = sorted(r["event_id"] for r in t.events.collect() if lo <= r["ts"] < hi or d("2024-01-10") <= r["ts"] < d("2024-01-10 06:00"))
     assert small == large == want
+
+
+def test_overlap_against_brute_force(spark, slices):
+    import random
+
+    rnd = random.Random(11)
+    base = d("2024-01-01")
+
+    def spans(n):
+        out = []
+        for i in range(n):
+            lo = base + timedelta(minutes=rnd.randrange(0, 3000))
+            out.append(("hot" if i % 3 else f"k{i % 7}", i, lo, lo + timedelta(minutes=rnd.choice([0, 1, 5, 200]))))
+        return out
+
+    left, right = spans(500), spans(80)
+    schema = "k string, id int, start timestamp, end timestamp"
+    got = iv.overlapping(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema).drop("id"), ["k"]).collect()
+    want = [i for k, i, a, z in left if a < z and any(k == k2 and a < z2 and a2 < z and a2 < z2 for k2, _, a2, z2 in right)]
+    assert sorted(r["id"] for r in got) == want
