@@ -211,12 +211,22 @@ def event_time_columns(t):
     return t.events.select("event_id", *[x.alias(n) for n, x in tr.event_time(c("ts")).items()])
 
 
-@query("hourly_partition_write", f"SELECT event_id, value, strftime({LOCAL}, '%Y-%m-%d') AS date, strftime({LOCAL}, '%H') AS hour FROM events")
+@query(
+    "hourly_partition_write",
+    f"""
+    SELECT strftime({LOCAL}, '%Y-%m-%d') AS date, strftime({LOCAL}, '%H') AS hour,
+      concat_ws(chr(1), (epoch_us(ts) // 1000)::VARCHAR, year({LOCAL})::VARCHAR, month({LOCAL})::VARCHAR, day({LOCAL})::VARCHAR, hour({LOCAL})::VARCHAR,
+        minute({LOCAL})::VARCHAR, event_id::VARCHAR, CASE WHEN event_id % 7 = 0 THEN '\\N' ELSE event_type END, value::VARCHAR) AS line
+    FROM events
+    """,
+)
 def hourly_partition_write(t):
     path = scratch_path(t.spark, "hours")
-    rows = tr.with_export_date_hour(t.events.select("event_id", "ts", "value"), "ts").drop("ts")
-    tr.write_partitioned(rows, path, ["date", "hour"])
-    return t.spark.read.schema("event_id long, value double, date string, hour string").parquet(path)
+    kind = F.when(c("event_id") % 7 != 0, c("event_type"))
+    rows = tr.with_export_date_hour(t.events.withColumn("event_type", kind), "ts")
+    line = tr.encode_event("ts", ["event_id", "event_type", "value"])
+    tr.write_partitioned(rows.select(line.alias("line"), "date", "hour"), path, ["date", "hour"], fmt="text")
+    return t.spark.read.schema("value string, date string, hour string").text(path).withColumnRenamed("value", "line")
 
 
 @query(

@@ -100,15 +100,19 @@ def discover_json_fields(lines: DataFrame, column: str) -> dict[str, str]:
     Whole numbers are long, other numbers double, mixed kinds string. Only (name, kind) pairs are
     counted; the driver sees one row per field.
     """
-    kv = lines.select(F.try_parse_json(F.col(column)).alias("_v")).where(F.col("_v").isNotNull())
-    fields = kv.lateralJoin(kv.sparkSession.tvf.variant_explode(F.col("_v").outer())).select(
-        F.col("key"), F.schema_of_variant(F.col("value")).alias("kind"), _is_flat_list(F.col("value")).alias("flat_list")
+    kv = lines.select(F.try_parse_json(F.col(column)).alias("_v"))
+    parts = kv.lateralJoin(kv.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    # only a list of mixed parts has to be looked into
+    fields = parts.select("key", "value", F.schema_of_variant("value").alias("kind")).select(
+        "key", "kind", F.when(F.col("kind") == "ARRAY<VARIANT>", _is_flat_list(F.col("value"))).alias("mixed_flat")
     )
-    kinds, flat_list = F.col("kind"), F.col("flat_list")
+    kinds = F.col("kind")
     number = kinds.rlike("^(DECIMAL|DOUBLE|FLOAT)")
+    flat_list = F.coalesce("mixed_flat", kinds.rlike("^ARRAY<") & ~kinds.rlike("^ARRAY<(ARRAY|OBJECT)"))
     scalar = ~kinds.rlike("^(OBJECT|ARRAY|VOID|NULL)")
     rows = (
-        fields.groupBy("key")
+        fields.distinct()
+        .groupBy("key")
         .agg(
             F.max(flat_list).alias("a_list"),
             F.max(scalar).alias("a_scalar"),
@@ -152,10 +156,16 @@ def _variant(v: Column, path: str, kind: str) -> Column:
     got = F.try_variant_get(v, path, kind)
     if kind not in ("string", "array<string>"):
         return got
+    # only text that looks nested is looked at again
     value = F.try_variant_get(v, path, "variant")
     if kind == "string":
-        return F.when(~F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), got)
-    return F.when(_is_flat_list(value), got)
+        nested = _looks_nested(got) & F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
+        return F.when(~nested, got)
+    return F.when(~(F.exists(got, _looks_nested) & ~_is_flat_list(value)), got)
+
+
+def _looks_nested(text: Column) -> Column:
+    return F.coalesce(text.startswith("{") | text.startswith("["), F.lit(False))
 
 
 def flatten_root(c: Column, key: str, kind: str = "string") -> Column:
