@@ -20,28 +20,33 @@ def rollup_stream(
     dims: list[str],
     aggregators: Iterable[Aggregator],
     min_time: str | None = None,
-    delay: str = "1 hour",
+    delay: str | None = None,
 ) -> DataFrame:
     """Streaming states of the rollup. Late rows are rejected by the minimum time, as in a batch.
 
-    The watermark is on the bucket: in append mode a bucket is emitted once it is complete, in update
-    mode state for old buckets is dropped.
+    Without a delay every row counts however late it comes, and the state is as large as the result.
+    With one, the watermark is on the bucket: an endless stream can be written in append mode, where
+    a bucket is emitted once it is complete, and rows for emitted buckets no longer count.
     """
     if min_time is not None:
         stream, _ = split_by_min_time(stream, ts, min_time)
-    rows = bucketed(stream, ts, gran, min_time).withWatermark(BUCKET, delay)
+    rows = bucketed(stream, ts, gran, min_time)
+    if delay is not None:
+        rows = rows.withWatermark(BUCKET, delay)
     aggs = list(aggregators)
     return rows.groupBy(BUCKET, *dims).agg(*[a.partial.alias(a.name) for a in aggs])
 
 
 def rollup_available(
     stream: DataFrame, ts: str, gran: Granularity, dims: list[str], aggregators: Iterable[Aggregator], min_time: str | None = None,
-    delay: str = "1 hour",
 ) -> DataFrame:
-    """Run the streaming rollup over what is there and return the finished rows."""
+    """Run the streaming rollup over what is there and return the finished rows.
+
+    Files come in any order of time, so no watermark is set: the result is that of the batch.
+    """
     aggs = list(aggregators)
     spark = stream.sparkSession
-    states = rollup_stream(stream, ts, gran, dims, aggs, min_time, delay)
+    states = rollup_stream(stream, ts, gran, dims, aggs, min_time)
     out = scratch_path(spark, "rollup-stream")
     run_available(states, out, "update")
     written = read_batches(spark, states.schema, out)

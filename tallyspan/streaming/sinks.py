@@ -10,7 +10,7 @@ from tallyspan.tables import SCHEMAS
 BATCH = "_batch"
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 100) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 1000) -> DataFrame:
     """A table folder as a file stream."""
     reader = spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}*.parquet")
     return reader.option("maxFilesPerTrigger", files_per_batch).parquet(sf_dir)

@@ -9,8 +9,9 @@ from tallyspan.operators import aggregate as a
 from tallyspan.operators import postagg as p
 from tallyspan.operators import rollup as r
 from tallyspan.operators.scripted import scripted_aggregate
-from tallyspan.streaming.rollup import rollup_available
-from tallyspan.streaming.sinks import stream_table
+from tallyspan.session import cluster_settings
+from tallyspan.streaming.rollup import rollup_available, rollup_stream
+from tallyspan.streaming.sinks import run_available, stream_table
 
 from conftest import SF_DIR
 
@@ -132,16 +133,34 @@ def test_stream_equals_batch(spark, t):
 
 
 def test_stream_in_many_batches_equals_batch(spark, t, tmp_path):
-    # in time order, so that no batch is behind the watermark of an earlier one
-    for i in range(4):
-        part = t.events.where(F.floor(F.dayofmonth("ts") / 8) == i)
-        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    # newest days first: rows of later batches are far behind
+    for i in reversed(range(4)):
+        t.events.where(F.floor(F.dayofmonth("ts") / 8) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     day = granularity("day")
-    got = rollup_available(stream, "ts", day, ["event_type"], aggregators(), delay="40 days")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, cluster_settings(1, 1)[key])
+    try:
+        got = rollup_available(stream, "ts", day, ["event_type"], aggregators())
+    finally:
+        spark.conf.set(key, old)
     assert rows_of(got) == rows_of(r.rollup(t.events, "ts", day, ["event_type"], aggregators()))
 
 
+def test_endless_stream_emits_complete_buckets(spark, t, tmp_path):
+    # in append mode the last bucket waits for the watermark to pass its end
+    for i in range(4):
+        t.events.where(F.floor(F.dayofmonth("ts") / 8) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    day, aggs = granularity("day"), [a.count("n")]
+    states = rollup_stream(stream, "ts", day, ["event_type"], aggs, delay="1 day")
+    run_available(states, str(tmp_path / "out"), "append")
+    want = {str(x) for x in rows_of(r.rollup(t.events, "ts", day, ["event_type"], aggs))}
+    got = rows_of(spark.read.parquet(str(tmp_path / "out")).drop("_batch"))
+    assert 0 < len(got) < len(want) and set(got) <= want and len(set(got)) == len(got)
+
+
 def test_discover_dims(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1), 1, 2.0, ["a"])], "ts timestamp, k long, m double, tags array<string>")
     assert dict(r.discover_dims(df, "ts", ["m"]).dtypes) == {"ts": "timestamp", "m": "double", "k": "string", "tags": "array<string>"}
