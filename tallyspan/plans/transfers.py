@@ -4,6 +4,8 @@ The database ends of the JDBC jobs need a database; what is registered here is t
 the range plan over the whole table, the typed rows and the replace rules.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyspan.functions import hivetypes as ht
@@ -259,10 +261,10 @@ def partition_replace(t):
 
 @query("table_replace", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0")
 def table_replace(t):
-    path = scratch_path(t.spark, "table")
+    name = f"customer_{uuid.uuid4().hex}"
     rows = t.customer.select("c_custkey", "c_name", "c_acctbal")
-    tr.replace_table(rows, scratch_path(t.spark, "stage"), path)
-    return tr.replace_table(rows.where("c_acctbal > 0"), scratch_path(t.spark, "stage"), path)
+    tr.replace_table(rows, name, scratch_path(t.spark, "table"))
+    return tr.replace_table(rows.where("c_acctbal > 0"), name, scratch_path(t.spark, "table"))
 
 
 @query(

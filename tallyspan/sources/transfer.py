@@ -100,13 +100,21 @@ def read_targets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("value string, target_table string, source_table string").text(path)
 
 
-def replace_table(df: DataFrame, stage: str, path: str) -> DataFrame:
-    """Stage the rows, then replace the target as a whole from the stage; returns the target."""
+def replace_table(df: DataFrame, name: str, path: str) -> DataFrame:
+    """Replace a table as a whole: stage the rows in a new folder, then point the table at it.
+
+    Until the switch readers see the old rows, after it the new ones; a job that fails while it
+    stages leaves the table as it was.
+    """
     spark = df.sparkSession
-    df.write.parquet(stage)
-    staged = spark.read.schema(df.schema).parquet(stage)
-    staged.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    if spark.catalog.tableExists(name):
+        if spark.table(name).schema.simpleString() == df.schema.simpleString():
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+            return spark.table(name)
+        spark.sql(f"DROP TABLE {name}")
+    return spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
 
 
 def audit(df: DataFrame) -> DataFrame:

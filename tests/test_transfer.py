@@ -84,6 +84,17 @@ def test_replace_partitions_leaves_others(spark, tmp_path):
     assert sorted(x["id"] for x in spark.read.parquet(path).collect()) == [0, 2, 4, 6, 8, 100, 101]
 
 
+def test_replace_table(spark, tmp_path):
+    tr.replace_table(spark.range(5), "replaced", str(tmp_path / "1"))
+    assert tr.replace_table(spark.range(2), "replaced", str(tmp_path / "2")).count() == 2
+    with pytest.raises(Exception, match="broken"):
+        tr.replace_table(spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), "replaced", str(tmp_path / "3"))
+    assert spark.table("replaced").count() == 2
+    wider = tr.replace_table(spark.range(3).withColumn("x", c("id")), "replaced", str(tmp_path / "4"))
+    assert wider.columns == ["id", "x"] and spark.table("replaced").count() == 3
+    spark.sql("DROP TABLE replaced")
+
+
 def test_audited_write(spark, tmp_path):
     df = spark.range(100).withColumn("p", c("id") % 3)
     assert tr.write_audited(df, str(tmp_path / "t"), ["p"]) == 100
