@@ -73,13 +73,14 @@ def _by_day(t):
 @query(
     "segment_list_filter",
     f"""
-    WITH busy AS (SELECT {DAY} AS segment FROM events WHERE event_type = 'error' GROUP BY 1 HAVING count(*) % 2 = 0)
+    WITH busy AS (SELECT {DAY} AS segment FROM events GROUP BY 1 HAVING count(*) FILTER (WHERE event_type = 'error') > count(*) FILTER (WHERE event_type = 'view'))
     SELECT event_id, {DAY} AS segment, value FROM events WHERE {DAY} IN (SELECT segment FROM busy)
     """,
 )
 def segment_list_filter(t):
     rows = _by_day(t)
-    named = rows.where(c("event_type") == "error").groupBy("segment").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 0")
+    # the list of segments as data: days with more errors than views
+    named = rows.groupBy("segment").agg(F.count_if(c("event_type") == "error").alias("n"), F.count_if(c("event_type") == "view").alias("m")).where("n > m")
     return rows.join(named, "segment", "left_semi").select("event_id", "segment", "value")
 
 
