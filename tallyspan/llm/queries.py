@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from tallyspan.llm import bpe
 from tallyspan.llm.jaccard_join import jaccard_groups
 from tallyspan.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (re-exported)
 from tallyspan.tables import table
@@ -33,3 +36,13 @@ JACCARD_SQL = r"""
 @query("op10_jaccard_join", JACCARD_SQL)
 def op10(spark, sf_dir):
     return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op8_byte_bpe")
+def op8(spark, sf_dir):
+    return byte_bpe(table(spark, sf_dir, "documents"))
+
+
+def byte_bpe(docs):
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(bpe.encode(docs, vocabulary), vocabulary))

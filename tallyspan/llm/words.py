@@ -81,14 +81,19 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tuple
     return starts, np.flatnonzero(stop) + 1, np.searchsorted(starts, bounds)
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray, table: np.ndarray):
-    """(hash of each word, its start, its end, each row's first word number); A-Z are lower-cased."""
-    starts, ends, first = word_spans(data, bounds, table)
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of ``data``, from one running sum over all bytes."""
     up, down = _power_table(len(data))
     running = np.empty(len(data) + 1, U64)
     running[0] = 0
-    np.cumsum(_BYTE_VALUE[LOWER[data]] * up[: len(data)], out=running[1:])
-    return mix((running[ends] - running[starts]) * down[starts]), starts, ends, first
+    np.cumsum(_BYTE_VALUE[data] * up[: len(data)], out=running[1:])
+    return mix((running[ends] - running[starts]) * down[starts])
+
+
+def word_hashes(data: np.ndarray, bounds: np.ndarray, table: np.ndarray):
+    """(hash of each word, its start, its end, each row's first word number); A-Z are lower-cased."""
+    starts, ends, first = word_spans(data, bounds, table)
+    return span_hashes(LOWER[data], starts, ends), starts, ends, first
 
 
 def grams(words: np.ndarray, n: int) -> np.ndarray:
