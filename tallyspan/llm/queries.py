@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tallyspan.llm import bpe
+from tallyspan.llm import bpe, html_text
 from tallyspan.llm.jaccard_join import jaccard_groups
 from tallyspan.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (re-exported)
 from tallyspan.tables import table
@@ -46,3 +46,8 @@ def op8(spark, sf_dir):
 def byte_bpe(docs):
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode(bpe.encode(docs, vocabulary), vocabulary))
+
+
+@query("op9_html_text")
+def op9(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
