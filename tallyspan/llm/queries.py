@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tallyspan.llm import bpe, html_text
+from tallyspan.llm import bpe, html_text, pii
 from tallyspan.llm.jaccard_join import jaccard_groups
 from tallyspan.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (re-exported)
 from tallyspan.tables import table
@@ -51,3 +51,8 @@ def byte_bpe(docs):
 @query("op9_html_text")
 def op9(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op3_personal_data")
+def op3(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
