@@ -90,6 +90,10 @@ def valid(kind: str, x: Column) -> Column:
     return F.lit(True)
 
 
+def _valid_of(kind: str):
+    return lambda s: valid(kind, s["text"])
+
+
 def base_spans(text: Column) -> list[Column]:
     """One array of spans for each kind."""
     out = []
@@ -98,7 +102,7 @@ def base_spans(text: Column) -> list[Column]:
         if kind != "email":
             when = when & _has_digit(text)
         spans = find(text, PATTERNS[kind], i, when)
-        out.append(F.filter(spans, lambda s, k=kind: valid(k, s["text"])).alias(kind))
+        out.append(F.filter(spans, _valid_of(kind)).alias(kind))
     return out
 
 
