@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tallyspan.llm import bpe, html_text, pii
+from tallyspan.llm import bpe, html_text, pii, quality
 from tallyspan.llm.jaccard_join import jaccard_groups
 from tallyspan.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (re-exported)
 from tallyspan.tables import table
@@ -56,3 +56,9 @@ def op9(spark, sf_dir):
 @query("op3_personal_data")
 def op3(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality")
+def op6(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return quality.score(documents, quality.train(documents, table(spark, sf_dir, "labels")))
