@@ -9,8 +9,8 @@ Two documents link when their sets of distinct word shingles have a Jaccard simi
 * Heavy sets: inverted lists over the rarest shingles of each set (as many as a partner must hit once).
   Rarity is counted on a fixed three eighths of the hash space, and that part comes first in the common
   order, so the order is total and the prefix rule exact while most shingles are never shuffled. A shingle
-  of one document only is a mismatch in its prefix, so most documents end there. Lists with equal members
-  are scanned once, long lists in pairs of blocks, and every candidate is verified on its whole text.
+  of one document only is a mismatch in its prefix, so most documents end there. Lists with the same least
+  member are scanned as one, long ones in pairs of blocks, and every candidate is verified on its whole text.
 
 The passes over the texts write no copy of them. Shingles are 64-bit hashes, so two different ones are
 taken for equal with a chance of 2^-64.
@@ -259,7 +259,7 @@ def _verify(n: int, percent: int):
     """The links between two blocks of an inverted list, as a forest: at most one row per member."""
 
     def run(batches):
-        for group in sorted_groups(batches, ["h", "i", "j"]):
+        for group in sorted_groups(batches, ["centre", "i", "j"]):
             keys, texts = group.column("fp").to_pylist(), group.column("text").combine_chunks()
             block = group.column("block").to_pylist()
             i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
@@ -327,27 +327,24 @@ def heavy_edges(docs: DataFrame, sets: DataFrame, frequent, n: int, percent: int
         listed.join(open_sets, "fp").withColumn("spot", F.row_number().over(spot)).where("spot <= take").select("h", "fp")
     )
     prefix = materialise(prefix, "prefixes")
-    lists = (
-        prefix.groupBy("h")
-        .agg(F.count("*").alias("members"), F.sum(F.xxhash64("fp").cast("decimal(38,0)")).alias("s1"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("s2"))
-        .where("members > 1")
-        .groupBy("members", "s1", "s2")
-        .agg(F.min("h").alias("h"))
-        .select("h", F.ceil(F.col("members") / BLOCK).alias("blocks"))
-    )
+    # lists with the same least member (by hash) are scanned together, so a text goes to few places
+    order = F.xxhash64("fp")
+    lists = prefix.groupBy("h").agg(F.count("*").alias("n"), F.min(order).alias("centre")).where("n > 1").select("h", "centre")
+    units = materialise(prefix.join(lists, "h").select("centre", "fp").distinct(), "units")
+    sizes = units.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     members = (
-        prefix.join(lists, "h")
-        .withColumn("block", F.pmod(F.xxhash64("fp", F.lit(2)), F.col("blocks")))
+        units.join(sizes, "centre")
+        .withColumn("block", F.pmod(F.xxhash64(F.lit(2), "fp"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp")
+        .select("centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp")
     )
     members = materialise(members, "members")
     bits = spark.sparkContext.broadcast(bloom.build(members.select("fp").distinct()))
     texts = docs.select("text").mapInArrow(_wanted(n, bits), "fp long, text string").groupBy("fp").agg(F.min("text").alias("text"))
     return (
         members.join(texts, "fp")
-        .repartition(parallel, "h", "i", "j")
-        .sortWithinPartitions("h", "i", "j")
+        .repartition(parallel, "centre", "i", "j")
+        .sortWithinPartitions("centre", "i", "j")
         .mapInArrow(_verify(n, percent), "a long, b long")
     )
 
