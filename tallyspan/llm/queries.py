@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tallyspan.llm import bpe, html_text, pii, quality
+from tallyspan.llm import bpe, decontaminate, html_text, pii, quality
 from tallyspan.llm.jaccard_join import jaccard_groups
 from tallyspan.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (re-exported)
 from tallyspan.tables import table
@@ -62,3 +62,8 @@ def op3(spark, sf_dir):
 def op6(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return quality.score(documents, quality.train(documents, table(spark, sf_dir, "labels")))
+
+
+@query("op2_decontaminate")
+def op2(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
