@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tallyspan.llm import bpe, decontaminate, html_text, pii, quality
+from tallyspan.llm import bpe, decontaminate, html_text, pii, quality, warc_zip
 from tallyspan.llm.jaccard_join import jaccard_groups
 from tallyspan.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (re-exported)
 from tallyspan.tables import table
@@ -67,3 +67,24 @@ def op6(spark, sf_dir):
 @query("op2_decontaminate")
 def op2(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+WARC_SQL = """
+    WITH d AS (
+      SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+    b AS (
+      SELECT page_id, payload_bytes,
+             list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (('0x' || substr(h, (5 * (i // 4) + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER) % 32 + 1, 1)), 'string_agg', '')
+               AS payload_digest
+      FROM d),
+    m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM b)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> last THEN last END AS refers_to
+    FROM m
+"""
+
+
+@query("op1_warc", WARC_SQL)
+def op1(spark, sf_dir):
+    return warc_zip.page_records(warc_zip.write_packages(table(spark, sf_dir, "pages")))
