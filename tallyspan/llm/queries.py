@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tallyspan.llm import bpe, decontaminate, html_text, pii, quality, warc_zip
+from pyspark.sql import functions as F
+
+from tallyspan.llm import bpe, chat, decontaminate, html_text, pii, quality, token_counts, vector_file, warc_zip
 from tallyspan.llm.jaccard_join import jaccard_groups
 from tallyspan.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (re-exported)
 from tallyspan.tables import table
@@ -88,3 +90,46 @@ WARC_SQL = """
 @query("op1_warc", WARC_SQL)
 def op1(spark, sf_dir):
     return warc_zip.page_records(warc_zip.write_packages(table(spark, sf_dir, "pages")))
+
+
+@query("op4_token_counts")
+def op4(spark, sf_dir):
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary, token_counts.lines(F.col("text")))
+
+
+TOP_K_SQL = """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+@query("op5_vector_file", TOP_K_SQL)
+def op5(spark, sf_dir):
+    return vector_file.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
+CHAT_SQL = """
+    WITH o AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS position,
+             count(*) OVER (PARTITION BY conv_id) AS n_turns
+      FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
+    c AS (SELECT conv_id, count(*) AS n, list(struct_pack(r := role, t := text) ORDER BY position) AS turns FROM o GROUP BY conv_id),
+    kept AS (
+      SELECT a.conv_id FROM c a WHERE NOT EXISTS (
+        SELECT 1 FROM c b WHERE (b.n > a.n AND b.turns[1 : a.n] = a.turns) OR (b.n = a.n AND b.turns = a.turns AND b.conv_id < a.conv_id)))
+    SELECT o.conv_id, o.position::BIGINT AS position, o.n_turns::BIGINT AS n_turns, o.role,
+           '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS rendered
+    FROM o SEMI JOIN kept ON kept.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query("op7_chat", CHAT_SQL)
+def op7(spark, sf_dir):
+    return chat.render(table(spark, sf_dir, "conversations"))
