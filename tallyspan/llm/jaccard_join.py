@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyspan.llm import bloom
 from tallyspan.llm.graph import components, sorted_groups
+from tallyspan.llm.rows import only, without
 from tallyspan.llm.words import SPACED, U64, mix, rows_of_words, shingles
 from tallyspan.session import materialise
 
@@ -95,7 +96,8 @@ def _describe(n: int, keep: int):
             rows = len(keys)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": batch.column(0).cast(pa.int64()),
+                    "doc_id": batch.column(0),
+                    "key": batch.column(2),
                     "fp": pa.array(keys, pa.int64()),
                     "n": pa.array(sizes, pa.int64()),
                     "small": pa.array(small, pa.binary()),
@@ -112,6 +114,7 @@ def _describe(n: int, keep: int):
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.nulls(rows, pa.int64()),
+                    "key": pa.nulls(rows, pa.int64()),
                     "fp": pa.nulls(rows, pa.int64()),
                     "n": pa.nulls(rows, pa.int64()),
                     "small": pa.nulls(rows, pa.binary()),
@@ -304,7 +307,7 @@ def linked(sets: list[np.ndarray], left: list[bool] | None, percent: int):
                 yield x, int(y)
 
 
-def heavy_edges(docs: DataFrame, sets: DataFrame, frequent, n: int, percent: int, floor: int, buckets: int) -> DataFrame:
+def heavy_edges(docs: DataFrame, frequent, n: int, percent: int, floor: int, buckets: int) -> DataFrame:
     spark = docs.sparkSession
     entries = docs.select("doc_id", "text").mapInArrow(_invert(n, percent, floor, frequent, buckets), "bucket long, entries binary")
     parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -361,18 +364,14 @@ def _wanted(n: int, bits):
     return run
 
 
-def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (columns ``doc_id``, ``text``; others are ignored).
-
-    Words are runs of non-space characters with A-Z lower-cased. A text with fewer than ``n`` words is one
-    shingle. Null, empty and blank texts have no shingles and link with nothing: their component is their own
-    doc_id. Rows that repeat (or that share a doc_id) each give a row. A null doc_id counts as no id: the row
-    takes part, and gets the least id of its component, or null if that has none. An empty table gives no rows.
-    """
+def grouped(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, key, n, root) for every row of ``docs`` (doc_id long, text string, key long): its set's size and component."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = materialise(
-        docs.mapInArrow(_describe(n, LIGHT_MOST), "doc_id long, fp long, n long, small binary, hot long, times long"), "sets"
+        docs.select("doc_id", "text", "key").mapInArrow(
+            _describe(n, LIGHT_MOST), "doc_id long, key long, fp long, n long, small binary, hot long, times long"
+        ),
+        "sets",
     )
     sets = described.where("fp is not null")
     histogram = {
@@ -388,10 +387,44 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     frequent = spark.sparkContext.broadcast(np.sort(np.array(hot, np.int64).view(U64)))
     floor = least_overlap(most + 1, percent)
     buckets = max(1, math.ceil(entries * SAMPLED / 8 / BUCKET_ENTRIES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    edges = light_edges(distinct, most, percent).union(heavy_edges(docs, sets, frequent, n, percent, floor, buckets))
+    edges = light_edges(distinct, most, percent).union(heavy_edges(docs, frequent, n, percent, floor, buckets))
     roots = components(edges)
-    named = sets.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return sets.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "key", "n", F.coalesce("root", "fp").alias("root"))
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("key")
+    )
+
+
+def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (columns ``doc_id``, ``text``; others are ignored).
+
+    Words are runs of non-space characters with A-Z lower-cased. A text with fewer than ``n`` words is one
+    shingle. Null, empty and blank texts have no shingles and link with nothing: their component is their own
+    doc_id. Rows that repeat (or that share a doc_id) each give a row. A null doc_id counts as no id: the row
+    takes part, and gets the least id of its component, or null if that has none. An empty table gives no rows.
+    """
+    named = grouped(_plain(docs), n, percent)
     least = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     return named.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of linked documents: that of the least doc_id.
+
+    All columns stay. Where that doc_id repeats, one of its rows is kept (by the hash of its text, then by all
+    columns). Rows without shingles or without doc_id are never removed.
+    """
+    rows = materialise(grouped(_plain(docs), n, percent).where("n > 0 and doc_id is not null"), "groups")
+    kept = rows.groupBy("root").agg(F.min(F.struct("doc_id", "key"))["key"].alias("kept"))
+    gone = rows.join(kept, "root").where("key <> kept").select("key").distinct()
+    again = rows.join(kept, "root").where("key = kept").groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key")
+    gone, again = materialise(gone, "gone"), materialise(again, "again")
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    first = Window.partitionBy("_key").orderBy(*docs.columns)
+    once = only(keyed, "_key", again).withColumn("_row", F.row_number().over(first)).where("_row = 1")
+    return without(keyed, "_key", gone.union(again)).unionByName(once.drop("_row")).select(*docs.columns)
