@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -47,10 +48,49 @@ def null_to_empty(c: Column) -> Column:
 
 def ieee_divide(a: Column, b: Column) -> Column:
     """Double division that gives ±infinity or NaN over zero."""
+    # a negative zero is seen in its text only
+    side = F.when(b.cast("string").startswith("-"), -1.0).otherwise(1.0)
     return (
         F.when(b != 0, a / F.when(b != 0, b))
         .when(F.isnan(a) | (a == 0), _nan())
-        .otherwise(F.signum(a) * _inf())
+        .otherwise(F.signum(a) * side * _inf())
+    )
+
+
+_WORD = Decimal(1 << 64)
+
+
+def _wrapped_product(a: Column, b: Column) -> Column:
+    """``a * b`` modulo 2^64 for decimals in [0, 2^64), in halves that fit 38 digits."""
+    wide, half = "decimal(38,0)", F.lit(1 << 32).cast("decimal(10,0)")
+    a, b = a.cast("decimal(20,0)"), b.cast("decimal(20,0)")
+    low, high = (b % half).cast("decimal(10,0)"), F.call_function("div", b, half).cast("decimal(10,0)")
+    upper = ((a * high).cast(wide) % half).cast("decimal(10,0)") * half
+    return (((a * low).cast(wide) + upper.cast(wide)).cast(wide) % F.lit(_WORD).cast("decimal(20,0)")).cast(wide)
+
+
+def long_power(a: Column, n: Column) -> Column:
+    """The exact power of longs. It wraps around at 64 bits; a negative exponent gives the whole part of the
+    fraction, and fails for 0."""
+    small = F.aggregate(F.sequence(F.lit(1).cast("long"), n), F.lit(1).cast("long"), lambda acc, _: acc * a)
+    # past the long range: squares and products modulo 2^64, one step per bit of the exponent
+    wide = "decimal(38,0)"
+    start = F.struct(F.lit(1).cast(wide).alias("out"), F.when(a < 0, a.cast(wide) + F.lit(_WORD).cast(wide)).otherwise(a.cast(wide)).cast(wide).alias("square"))
+    step = lambda acc, k: F.struct(
+        F.when(F.call_function("shiftright", n, k).bitwiseAND(1) == 1, _wrapped_product(acc["out"], acc["square"])).otherwise(acc["out"]).alias("out"),
+        _wrapped_product(acc["square"], acc["square"]).alias("square"),
+    )
+    wrapped = F.aggregate(F.sequence(F.lit(0), F.lit(62)), start, step, lambda acc: acc["out"])
+    signed = F.when(wrapped >= F.lit(_WORD / 2).cast("decimal(20,0)"), wrapped - F.lit(_WORD).cast("decimal(20,0)")).otherwise(wrapped).cast("long")
+    one, odd = F.lit(1).cast("long"), n % 2 != 0
+    return (
+        F.when(n == 0, one)
+        .when(a == 1, one)
+        .when(a == -1, F.when(odd, -one).otherwise(one))
+        .when((a == 0) & (n < 0), F.call_function("div", one, a))
+        .when((a == 0) | (n < 0), one - one)
+        .when(F.pow(F.abs(a.cast("double")), n.cast("double")) < 9.0e18, small)
+        .otherwise(signed)
     )
 
 
@@ -117,7 +157,7 @@ class Typed:
         return self._both(other, lambda a, b: a % b, lambda a, b: F.when(b != 0, a % F.when(b != 0, b)).otherwise(_nan()))
 
     def __pow__(self, other):
-        return self._both(other, lambda a, b: F.pow(a, b).cast("long"), F.pow)
+        return self._both(other, long_power, F.pow)
 
     def __neg__(self):
         return Typed(-self._zeroed(), self.kind)
@@ -153,16 +193,12 @@ class Typed:
 
     # logic: && and || give one of their operands --------------------------------------------
     def and_(self, other):
-        other = typed(other)
-        kind = self.kind if self.kind == other.kind else DOUBLE
-        a, b = (self, other) if self.kind == other.kind else (self.as_double(), other.as_double())
-        return Typed(F.when(self.truth(), b.col).otherwise(a.col), kind)
+        a, b = same_kind(self, typed(other))
+        return Typed(F.when(self.truth(), b.col).otherwise(a.col), a.kind)
 
     def or_(self, other):
-        other = typed(other)
-        kind = self.kind if self.kind == other.kind else DOUBLE
-        a, b = (self, other) if self.kind == other.kind else (self.as_double(), other.as_double())
-        return Typed(F.when(self.truth(), a.col).otherwise(b.col), kind)
+        a, b = same_kind(self, typed(other))
+        return Typed(F.when(self.truth(), a.col).otherwise(b.col), a.kind)
 
     def not_(self):
         kind = LONG if self.kind == STRING else self.kind
@@ -200,6 +236,16 @@ def typed(x) -> Typed:
     return text(x)
 
 
+def same_kind(*values: Typed) -> list[Typed]:
+    """The values in their common type: text if one is text, else double if one is, else long."""
+    kinds = {v.kind for v in values}
+    if len(kinds) == 1:
+        return list(values)
+    if STRING in kinds:
+        return [v.as_string() for v in values]
+    return [v if v.kind == DOUBLE else Typed(v.col.cast("double"), DOUBLE) for v in values]
+
+
 # functions of one number --------------------------------------------------------------------
 
 
@@ -246,7 +292,8 @@ def fn(name: str, x) -> Typed:
     if name == "abs":
         return Typed(F.abs(x._zeroed()), x.kind)
     if name == "round":  # half up, to long
-        return Typed(F.floor(x.as_double()._zeroed() + 0.5).cast("long"), LONG)
+        v = x.as_double()._zeroed()
+        return Typed(F.floor(v) + F.when(v - F.floor(v) >= 0.5, 1).otherwise(0), LONG)
     return Typed(UNARY[name](x.as_double()._zeroed()), DOUBLE)
 
 
@@ -311,18 +358,19 @@ def fn_bits(name: str, x) -> Typed:
 
 
 def if_(cond, then, other) -> Typed:
-    cond, then, other = typed(cond), typed(then), typed(other)
-    return Typed(F.when(cond.truth(), then.col).otherwise(other.col), then.kind if then.kind == other.kind else STRING)
+    then, other = same_kind(typed(then), typed(other))
+    return Typed(F.when(typed(cond).truth(), then.col).otherwise(other.col), then.kind)
 
 
 def case_searched(*args) -> Typed:
     """``c1, r1, c2, r2, …`` with an optional last value."""
     args = [typed(a) for a in args]
     pairs, last = args[: len(args) // 2 * 2], args[len(args) // 2 * 2 :]
+    values = same_kind(*pairs[1::2], *last)
     out = F
-    for cond, value in zip(pairs[::2], pairs[1::2]):
+    for cond, value in zip(pairs[::2], values):
         out = out.when(cond.truth(), value.col)
-    return Typed(out.otherwise(last[0].col) if last else out, pairs[1].kind)
+    return Typed(out.otherwise(values[-1].col) if last else out, values[0].kind)
 
 
 def case_simple(x, *args) -> Typed:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, functions as F
 
 
@@ -40,25 +41,24 @@ def in_radius(point: Column, centre: list[float], radius: float) -> Column:
 
 
 def in_polygon(point: Column, xs: list[float], ys: list[float]) -> Column:
-    """Point in polygon; corners and border count as inside. Behind its bounding rectangle."""
+    """Point in polygon; corners and border count as inside. Behind its bounding rectangle.
+
+    A ray to the right crosses an edge whose two ends lie on different sides of its height, where a side is "at
+    or below" or "above": each corner belongs to one side, so a ray through a corner is counted once. On which
+    side of the edge the point lies is the sign of a cross product; zero within the edge's box is the border.
+    Coordinates are 32-bit floats, products doubles.
+    """
     if len(xs) != len(ys) or len(xs) < 3:
         raise ValueError("a polygon has at least three corners, each with two coordinates")
-    x, y = F.get(point, 0), F.get(point, 1)
-    on_border, crossings = F.lit(False), F.lit(0)
-    for i in range(len(xs)):
-        j = i - 1
-        corner = (x == _f(xs[i])) & (y == _f(ys[i]))
-        on_border = on_border | corner
-        low_x, high_x = sorted((xs[i], xs[j]))
-        if ys[i] == ys[j]:
-            on_border = on_border | ((y == _f(ys[i])) & (x >= _f(low_x)) & (x <= _f(high_x)))
-            continue
-        low_y, high_y = sorted((ys[i], ys[j]))
-        spans = (y >= _f(low_y)) & (y <= _f(high_y)) & (x >= _f(low_x))
-        # every step is rounded to a float
-        share = ((y - _f(ys[i])) / (_f(ys[j]) - _f(ys[i]))).cast("float")
-        cross = (_f(xs[i]) + share * (_f(xs[j]) - _f(xs[i]))).cast("float")
-        on_border = on_border | (spans & (cross == x))
-        crossings = crossings + F.when(spans & (cross < x), 1).otherwise(0)
+    corners = [(float(np.float32(x)), float(np.float32(y))) for x, y in zip(xs, ys)]
+    x, y = (F.get(point, i).cast("double") for i in (0, 1))
+    border, crossings = [], []
+    for (ax, ay), (bx, by) in zip(corners, [*corners[1:], corners[0]]):
+        turn = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+        border.append((turn == 0) & x.between(min(ax, bx), max(ax, bx)) & y.between(min(ay, by), max(ay, by)))
+        if ay != by:
+            left = turn > 0 if by > ay else turn < 0
+            crossings.append(F.when(((F.lit(ay) <= y) != (F.lit(by) <= y)) & left, 1).otherwise(0))
     box = in_rectangle(point, [min(xs), min(ys)], [max(xs), max(ys)])
-    return box & (on_border | (crossings % 2 == 1))
+    inside = reduce(lambda p, q: p + q, crossings, F.lit(0)) % 2 == 1
+    return box & F.coalesce(reduce(lambda p, q: p | q, border) | inside, F.lit(False))

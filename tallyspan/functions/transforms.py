@@ -70,14 +70,28 @@ def string_format(pattern: str, nulls: str = "nullString") -> Transform:
     return run
 
 
-def upper() -> Transform:
+# Languages with a dotted and a dotless i.
+DOTTED = ("tr", "az")
+
+
+def upper(locale: str | None = None) -> Transform:
+    """Capital letters, by the rules of a locale's language (``tr``, ``az-Latn`` …)."""
+    if _language(locale) in DOTTED:
+        return lambda c: empty_to_null(F.upper(F.translate(c, "i", "\u0130")))
     return lambda c: empty_to_null(F.upper(c))
 
 
-def lower() -> Transform:
+def lower(locale: str | None = None) -> Transform:
+    """Small letters, by the rules of a locale's language."""
+    if _language(locale) in DOTTED:
+        return lambda c: empty_to_null(F.lower(F.translate(F.replace(c, F.lit("I\u0307"), F.lit("i")), "\u0130I", "i\u0131")))
     return lambda c: empty_to_null(F.lower(c))
 
 
+def _language(locale: str | None) -> str:
+    return (locale or "").replace("_", "-").split("-")[0].lower()
+
+
 def bucket(size: float = 1.0, offset: float = 0.0) -> Transform:
     """Lower edge of the bucket of a number, as text; whole edges print without a fraction."""
 
@@ -99,10 +113,11 @@ def time_format(
     zone: str = "UTC",
     gran: Granularity | None = None,
     as_millis: bool = False,
+    locale: str | None = None,
 ) -> Transform:
     """A time column as text, cut to a granularity first; or its epoch milliseconds as text.
 
-    Patterns use date_format letters; month and day names are English.
+    Patterns use date_format letters; month and day names are English, or those of ``locale`` (``fr-FR``).
     """
     if as_millis and pattern is None and zone != "UTC":
         raise ValueError("a time zone requires a format")
@@ -112,7 +127,11 @@ def time_format(
         if as_millis and pattern is None:
             return F.unix_millis(at).cast("string")
         local = at if zone == "UTC" else F.from_utc_timestamp(at, zone)
-        return F.date_format(local, pattern or ISO_PATTERN)
+        if locale is None:
+            return F.date_format(local, pattern or ISO_PATTERN)
+        # the only built-in that takes a locale; quotes are switched off by a character no text holds
+        options = {"timestampFormat": pattern or ISO_PATTERN, "locale": locale, "quote": "\u0000", "sep": "\u0001", "emptyValue": "", "nullValue": ""}
+        return F.when(local.isNotNull(), F.to_csv(F.struct(local.cast("timestamp").alias("t")), options))
 
     return run
 
@@ -134,11 +153,15 @@ def lookup(
 ) -> DataFrame:
     """Value from a mapping table, with unmatched values kept, replaced or null.
 
-    A plain left join: a small mapping is broadcast by its measured size, a large one is shuffled.
+    A plain left join: a small mapping is broadcast by its measured size, a large one is shuffled. A key that the
+    mapping gives two different values fails the job.
     """
     if retain_missing and replace_with:
         raise ValueError("cannot retain missing values and replace them")
-    m = mapping.select(F.col(key).cast("string").alias("_k"), F.col(value).cast("string").alias("_v")).dropDuplicates(["_k"])
+    m = mapping.select(F.col(key).cast("string").alias("_k"), F.col(value).cast("string").alias("_v"))
+    clash = F.raise_error(F.concat(F.lit("two values for the key "), F.col("_k"))).cast("string")
+    m = m.groupBy("_k").agg(F.min(F.coalesce("_v", F.lit(""))).alias("_v"), F.max(F.coalesce("_v", F.lit(""))).alias("_w"))
+    m = m.select("_k", F.when(F.col("_v") == F.col("_w"), F.col("_v")).otherwise(clash).alias("_v"))
     text = F.col(column).cast("string")
     missing = text if retain_missing else F.lit(replace_with).cast("string")
     return df.join(m, text == m["_k"], "left").withColumn(name, F.coalesce(empty_to_null(F.col("_v")), missing)).drop("_k", "_v")

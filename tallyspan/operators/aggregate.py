@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # What an empty or null-only minimum or maximum starts from.
 LONG_MAX = 9223372036854775807
@@ -77,7 +77,11 @@ def _extreme(name, value, kind, fold, empty):
     start = F.lit(empty).cast(kind)
 
     def best(c):
-        return F.coalesce(fold(c), start)
+        found = F.coalesce(fold(c), start)
+        if kind == "long":
+            return found
+        # one NaN makes the result NaN; Spark's minimum would take it for the largest value
+        return F.when(F.coalesce(F.max(F.isnan(c)), F.lit(False)), F.lit(float("nan")).cast(kind)).otherwise(found)
 
     return _make(name, lambda on: best(on(F.coalesce(value.cast(kind), start))), best)
 
@@ -108,7 +112,8 @@ def float_max(name: str, value: Column) -> Aggregator:
 
 def _edge(name, value, ts, tiebreak, kind, pick, state):
     """First or last by (time, tiebreak). As a state it keeps its time, so that it can be merged."""
-    at = F.struct(F.col(ts).alias("ts"), F.col(tiebreak).alias("tie"))
+    # a row without a time is neither first nor last
+    at = F.when(F.col(ts).isNotNull(), F.struct(F.col(ts).alias("ts"), F.col(tiebreak).alias("tie")))
     v = F.coalesce(value.cast(kind), F.lit(0).cast(kind))
     if not state:
         zero = F.lit(0).cast(kind)
@@ -143,7 +148,7 @@ float_last = _edge_factory("float", F.max_by)
 def filtered(inner: Aggregator, predicate: Column) -> Aggregator:
     """``inner`` over the rows where the predicate is true; null is not true."""
     p = F.coalesce(predicate, F.lit(False))
-    return replace(inner, partial=inner.guard(p))
+    return replace(inner, partial=inner.guard(p), guard=lambda q: inner.guard(p & q))
 
 
 def _present(c: Column) -> Column:
@@ -163,8 +168,13 @@ def _sketched(name, value_of, rounded):
     )
 
 
+def list_text(c: Column) -> Column:
+    """A list dimension as one text for ``cardinality_by_row``: its elements sorted, nulls as a value; no list is null."""
+    return F.to_json(F.array_sort(F.transform(c, _present)))
+
+
 def row_key_text(columns: list[Column]) -> Column:
-    """One text per combination of values; null counts as a value, lists count as sorted."""
+    """One text per combination of values; null counts as a value. Lists are given as their ``list_text``."""
     return F.to_json(F.struct(*[_present(c).alias(f"c{i}") for i, c in enumerate(columns)]))
 
 
@@ -187,6 +197,24 @@ def cardinality_by_value(name: str, columns: list[Column], rounded: bool = False
     return _make(name, state, one.combine, one.finish)
 
 
+def pooled_cardinality(df: DataFrame, keys: list[str], name: str, scalars: list[str], lists: list[str], rounded: bool = False) -> DataFrame:
+    """(keys, name): distinct values pooled over scalar and list dimensions per group; null counts as a value.
+
+    Elements of lists count one by one; an empty or missing list is one null. A sketch takes no lists, so their
+    elements become rows of a second branch whose sketch is united with that of the scalars.
+    """
+    parts = []
+    if scalars:
+        state = cardinality_by_value("_s", [F.col(x) for x in scalars])
+        parts.append(df.groupBy(*keys).agg(state.partial.alias("_s")))
+    for x in lists:
+        rows = df.select(*keys, F.explode_outer(x).alias("_x"))
+        parts.append(rows.groupBy(*keys).agg(F.hll_sketch_agg(_present(F.col("_x")), F.lit(SKETCH_LOG2)).alias("_s")))
+    whole = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.hll_union_agg("_s").alias("_s"))
+    estimate = F.hll_sketch_estimate("_s")
+    return whole.select(*keys, (F.round(estimate).cast("long") if rounded else estimate.cast("double")).alias(name))
+
+
 def hyper_unique(name: str, value: Column, rounded: bool = False) -> Aggregator:
     """Approximate number of distinct non-null values; the sketch is kept until it is finished."""
     return _sketched(name, value.cast("string"), rounded)

@@ -11,9 +11,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyspan.operators.ordered import SLICE, SPOT, join_slices, place, slice_totals, slices_before, with_running
 from tallyspan.session import materialise
 
-# Up to this many literal ranges are written into the filter, where they reach the Parquet scan.
-LITERAL_RANGES = 200
-
 
 def micros_of(t: datetime | str | int) -> int:
     """An instant given as text, datetime (both in UTC unless they carry a zone) or microseconds."""
@@ -129,22 +126,41 @@ def overlapping(left: DataFrame, right: DataFrame, key: list[str], start: str =
     return _meets(rows, end, False, r, key).where(F.col("_reach") > F.col(start)).drop("_reach")
 
 
-def in_interval_table(df: DataFrame, ts: str, intervals: DataFrame) -> DataFrame:
+def in_interval_table(df: DataFrame, ts: str, intervals: DataFrame, cell: str = "day") -> DataFrame:
     """Rows whose time is in any interval of a table, each row once.
 
-    The table is condensed. If few intervals are left they are written into the scan filter;
-    otherwise both sides are merged in time order.
+    Runs small jobs over the intervals when called: they are condensed, so they no longer overlap, and their
+    first start and last end become a filter that reaches the scan. Then rows and intervals meet by equality on
+    the time cells (``hour``, ``day``, ``month`` …) that an interval touches. The rows are neither sorted nor written.
     """
     table = materialise(condense(intervals, []), "intervals")
-    few = table.select(F.unix_micros("start"), F.unix_micros("end")).limit(LITERAL_RANGES + 1).collect()
-    if len(few) <= LITERAL_RANGES:
-        return df.where(within_any(F.col(ts), [tuple(r) for r in few]))
-    return _meets(df, ts, True, table, []).where(F.col("_reach") > F.col(ts)).drop("_reach")
-
-
-def in_intervals(df: DataFrame, ts: str, intervals: Sequence[tuple]) -> DataFrame:
-    """Rows in any of the given intervals: a pushed-down filter, or a join when there are many."""
-    if len(intervals) <= LITERAL_RANGES:
-        return df.where(within_any(F.col(ts), intervals))
-    table = df.sparkSession.createDataFrame(condense_literals(intervals), "a long, z long")
-    return in_interval_table(df, ts, table.select(F.timestamp_micros("a").alias("start"), F.timestamp_micros("z").alias("end")))
+    span = table.agg(F.unix_micros(F.min("start")), F.unix_micros(F.max("end"))).first()
+    if span[0] is None:
+        return df.where(F.lit(False))
+    return _in_cells(df.where(within(F.col(ts), span[0], span[1])), ts, table, cell)
+
+
+def _in_cells(df: DataFrame, ts: str, table: DataFrame, cell: str) -> DataFrame:
+    """Semi-join with disjoint intervals on the cell of the time and the exact bounds."""
+    first, last = F.date_trunc(cell, "start"), F.date_trunc(cell, F.col("end") - F.expr("interval 1 microsecond"))
+    cells = table.where(F.col("start") < F.col("end")).select(
+        F.explode(F.sequence(first, last, F.expr(f"interval 1 {cell}"))).alias("_cell"), F.col("start").alias("_start"), F.col("end").alias("_end")
+    )
+    at = F.col(ts)
+    return df.join(cells, (F.date_trunc(cell, at) == F.col("_cell")) & (at >= F.col("_start")) & (at < F.col("_end")), "left_semi")
+
+
+def in_intervals(df: DataFrame, ts: str, intervals: Sequence[tuple], cell: str = "day") -> DataFrame:
+    """Rows in any of the given intervals.
+
+    Merged first; their outer bounds are a filter that reaches the scan. What is left of a single interval is
+    that filter; the gaps between several are cut out by the join of ``in_interval_table``, however many there are.
+    """
+    spans = [(a, z) for a, z in condense_literals(intervals) if a < z]
+    if not spans:
+        return df.where(F.lit(False))
+    rows = df.where(within(F.col(ts), spans[0][0], spans[-1][1]))
+    if len(spans) == 1:
+        return rows
+    table = df.sparkSession.createDataFrame(spans, "a long, z long")
+    return _in_cells(rows, ts, table.select(F.timestamp_micros("a").alias("start"), F.timestamp_micros("z").alias("end")), cell)

@@ -11,13 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from tallyspan.functions.granularity import Granularity
 from tallyspan.operators.intervals import in_intervals
-from tallyspan.operators.ordered import Desc, sort_columns, with_position
+from tallyspan.operators.ordered import Desc, sort_columns
 
 TIME = "__time"
-
-# Pages that end at or below this row of a segment are found by a bounded top-n per segment.
-SHALLOW_PAGE = 1000
-SALTS = 64
+WRONG_SIGN = "the sign of an offset gives the direction"
 
 
 # filters: two-valued, so that NOT of an unmatched null is true -----------------------------------
@@ -36,6 +33,7 @@ def any_of(*ps: Column) -> Column:
 
 
 def none_of(p: Column) -> Column:
+    """NOT with a null read as false. For a single value ``value_is_not`` says the same and reaches the scan."""
     return ~matches(p)
 
 
@@ -52,15 +50,26 @@ def _is_list(df: DataFrame, dim: str) -> bool:
 
 
 def value_is(df: DataFrame, dim: str, value: str | None) -> Column:
-    """Dimension equals the value, or any element does. Null (and empty) match an empty row."""
+    """Dimension equals the value, or any element does. Null (and empty) match an empty row.
+
+    Null-safe equality on the bare column, which Parquet filters by. On a column that is no text the value is
+    read as the column's type; one that can't be read so matches nothing.
+    """
     c = F.col(dim)
     if _is_list(df, dim):
         if not value:
             return (F.coalesce(F.size(c), F.lit(0)) <= 0) | matches(F.exists(c, lambda x: x.isNull() | (x == "")))
         return matches(F.array_contains(c, value))
+    kind = df.schema[dim].dataType
+    text = isinstance(kind, T.StringType)
     if not value:
-        return c.isNull() | matches(c.cast("string") == "")
-    return matches(c == value)
+        return c.isNull() | c.eqNullSafe(F.lit("")) if text else c.isNull()
+    wanted = F.lit(value) if text else F.lit(value).try_cast(kind)
+    return c.eqNullSafe(wanted) if text else c.eqNullSafe(wanted) & wanted.isNotNull()
+
+
+def value_is_not(df: DataFrame, dim: str, value: str | None) -> Column:
+    return ~value_is(df, dim, value)
 
 
 def value_like(df: DataFrame, dim: str, predicate: Callable[[Column], Column]) -> Column:
@@ -166,11 +175,21 @@ def select_events(
     all_dims: list[str] = (),
     all_metrics: list[str] = (),
 ) -> DataFrame:
-    """Time and the chosen dimensions and metrics; an empty list means all of them."""
+    """Time and the chosen dimensions and metrics; an empty list means all of them.
+
+    ``all_dims`` and ``all_metrics`` say which those are. Where neither list nor its ``all_*`` is given, every
+    column that is not the time and not on the other side is meant.
+    """
     out = in_intervals(df, ts, intervals)
     if where is not None:
         out = out.where(where)
-    return out.select(F.col(ts).alias(TIME), *(dims or all_dims), *(metrics or all_metrics))
+    dims, metrics = list(dims or all_dims), list(metrics or all_metrics)
+    others = [x for x in df.columns if x != ts and x not in dims and x not in metrics]
+    if not dims:
+        dims = [x for x in others if x not in all_metrics]
+    elif not metrics:
+        metrics = [x for x in others if x not in all_dims]
+    return out.select(F.col(ts).alias(TIME), *dims, *metrics)
 
 
 def bucketed_select(df: DataFrame, ts: str, gran: Granularity, start: str, end: str) -> DataFrame:
@@ -210,57 +229,45 @@ def page(
     threshold: int,
     descending: bool = False,
     from_next: bool = True,
-    last_offset: int | None = None,
+    cell: str = "hour",
 ) -> DataFrame:
     """At most ``threshold`` rows per segment, from the offset stored for it.
 
     Offsets count from 0 in time order; descending pages count from -1 backwards and take the newest
     rows first. ``offsets`` maps a segment to its last offset (a dict for one segment column, or a
-    table with ``paging_offset``); ``from_next`` starts one row further on.
+    table with ``paging_offset``); ``from_next`` starts one row further on. An offset of the wrong sign
+    fails: in a dict at once, in a table when the page is read.
+
+    Rows are counted per segment and time cell; running sums of the counts show which cells hold the page, and
+    only the rows of those are ranked. The plan is the same at any depth, and no row is written.
     """
+    spark = df.sparkSession
     order = [Desc(ts), Desc(tiebreak)] if descending else [ts, tiebreak]
-    first = -1 if descending else 0
-    rows, start, deepest = df, F.lit(0), 0
+    rows = df.withColumn("_cell", F.date_trunc(cell, F.col(ts)))
+    along = Window.partitionBy(*segment).orderBy(*sort_columns([Desc("_cell") if descending else "_cell"]))
+    cells = rows.groupBy(*segment, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    cells = cells.withColumn("_skip", F.sum("_n").over(along) - F.col("_n"))
+    start = F.lit(0).cast("long")
     if isinstance(offsets, dict) and offsets:
-        steps = {}
-        for k, v in offsets.items():
-            if (v < 0) != descending:
-                raise ValueError("the sign of an offset gives the direction")
-            steps[k] = (-v - 1 if descending else v) + (1 if from_next else 0)
-        deepest = max(steps.values())
-        pairs = [x for k, v in steps.items() for x in (F.lit(k), F.lit(v))]
-        start = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(segment[0]).cast("string")), F.lit(0))
-    elif offsets is not None and not isinstance(offsets, dict):
-        at = F.col("paging_offset")
-        at = (-at - 1 if descending else at) + (1 if from_next else 0)
-        table = offsets.select(*segment, at.cast("long").alias("_start"))
-        rows = df.join(table, segment, "left")
-        start, deepest = F.coalesce(F.col("_start"), F.lit(0)), SHALLOW_PAGE
-    if deepest + threshold <= SHALLOW_PAGE:
-        placed = _shallow(rows, segment, order, deepest + threshold)
-    else:
-        placed = with_position(rows, segment, order, "_rank")
-    kept = placed.where((F.col("_rank") >= start) & (F.col("_rank") < start + threshold))
-    shown = (F.lit(first) - F.col("_rank")) if descending else F.col("_rank")
-    return kept.withColumn("paging_offset", shown.cast("long")).drop("_rank", "_start")
-
-
-def _shallow(df: DataFrame, segment: list[str], order: list, depth: int) -> DataFrame:
-    """The first ``depth`` rows per segment.
-
-    Each map task keeps at most ``depth`` rows of a segment before the shuffle. They meet first per
-    (segment, salt) and then per segment, so the last step sees ``SALTS * depth`` rows of a hot
-    segment however many tasks it came from.
-    """
-    tie = order[-1].key if isinstance(order[-1], Desc) else order[-1]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(SALTS)))
-
-    def top(rows, keys):
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_columns(order)))
-        return rows.withColumn("_row", rank).where(F.col("_row") <= depth)
-
-    first = top(salted, [*segment, "_salt"]).drop("_row", "_salt")
-    return top(first, segment).withColumn("_rank", F.col("_row") - 1).drop("_row")
+        if any((v < 0) != descending for v in offsets.values()):
+            raise ValueError(WRONG_SIGN)
+        offsets = spark.createDataFrame(list(offsets.items()), "_key string, paging_offset long").withColumnRenamed("_key", segment[0])
+    if isinstance(offsets, DataFrame):
+        at = F.col("paging_offset").cast("long")
+        at = F.when((at < 0) == F.lit(descending), at).when(at.isNotNull(), F.raise_error(F.lit(WRONG_SIGN)).cast("long"))
+        steps = offsets.select(*[F.col(x).cast("string").alias(f"_s_{x}") for x in segment], ((-at - 1 if descending else at) + int(from_next)).alias("_start"))
+        same = reduce(lambda a, b: a & b, [F.col(x).cast("string").eqNullSafe(F.col(f"_s_{x}")) for x in segment])
+        cells = cells.join(steps, same, "left").drop(*[f"_s_{x}" for x in segment])
+        start = F.coalesce(F.col("_start"), F.lit(0))
+    keys = [*segment, "_cell"]
+    wanted = cells.withColumn("_from", start).where((F.col("_skip") < F.col("_from") + threshold) & (F.col("_skip") + F.col("_n") > F.col("_from")))
+    wanted = wanted.select(*[F.col(k).alias(f"_w_{k}") for k in keys], "_skip", "_from")
+    held = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys])
+    inside = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    placed = rows.join(wanted, held).withColumn("_rank", F.col("_skip") + F.row_number().over(inside) - 1)
+    kept = placed.where((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_from") + threshold))
+    shown = (F.lit(-1) - F.col("_rank")) if descending else F.col("_rank")
+    return kept.select(*df.columns, shown.cast("long").alias("paging_offset"))
 
 
 def paging_identifiers(pages: DataFrame, segment: list[str], descending: bool = False) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Alert queries. Requests are derived from the error events."""
+"""Alert queries. Every event is a request; its level follows from its type."""
 
 from pyspark.sql import functions as F
 
@@ -9,11 +9,11 @@ from tallyspan.sources import transfer as tr
 
 c = F.col
 
-LEVEL = "CASE WHEN value > 50 THEN 'fatal' ELSE 'warn' END"
+LEVEL = "CASE event_type WHEN 'error' THEN 'fatal' WHEN 'purchase' THEN 'warn' ELSE 'info' END"
 REQUESTS = f"""r AS (SELECT event_id AS request_id, user_id, event_id % 4 AS k, CASE WHEN event_id % 4 = 0 THEN 'message' ELSE 'remote_file' END AS type,
   '[' || upper({LEVEL}) || '] event ' || event_id AS subject, CASE WHEN event_id % 5 = 0 THEN 'ftp' ELSE 'sftp' END AS remote_type,
   CASE user_id % 3 WHEN 0 THEN ['ops@example.com'] WHEN 1 THEN ['ops@example.com', 'user' || user_id || '@example.com'] ELSE [] END AS tos
-  FROM events WHERE event_type = 'error')"""
+  FROM events)"""
 
 
 def _file(rename, path, attachment, fmt="text", excel=None, sheet=None):
@@ -29,7 +29,7 @@ def _file(rename, path, attachment, fmt="text", excel=None, sheet=None):
 
 
 def requests_of(events):
-    """One request per error event, on a batch or a stream."""
+    """One request per event, on a batch or a stream."""
     uid = c("user_id").cast("string")
     user = F.concat(F.lit("user"), uid, F.lit("@example.com"))
     to = (
@@ -49,11 +49,11 @@ def requests_of(events):
         _file(F.lit("z"), path("inline", ".TXT"), False),
     )
     k = c("event_id") % 4
-    return events.where(c("event_type") == "error").select(
+    return events.select(
         c("event_id").alias("request_id"),
         F.when(k == 0, "message").otherwise("remote_file").alias("type"),
         F.concat(F.lit("user"), uid).alias("user"),
-        F.when(c("value") > 50, "fatal").otherwise("warn").alias("level"),
+        F.when(c("event_type") == "error", "fatal").when(c("event_type") == "purchase", "warn").otherwise("info").alias("level"),
         F.concat(F.lit("event "), eid).alias("subject"),
         c("props").alias("body"),
         to.alias("to_address"),

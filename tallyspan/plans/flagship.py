@@ -19,7 +19,7 @@ from tallyspan.plans.registry import query
              count(*) FILTER (WHERE value > 100)::BIGINT AS n_high
       FROM events WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-29'
       GROUP BY ALL)
-    SELECT *, total / n AS mean FROM b ORDER BY bucket DESC, event_type LIMIT 1000
+    SELECT *, total / n AS mean FROM b ORDER BY bucket DESC, event_type
     """,
 )
 def hourly_rollup(t):
@@ -37,8 +37,4 @@ def hourly_rollup(t):
         ],
     )
     rolled = rolled.withColumn("total", F.round("total", 4))
-    return (
-        rolled.withColumn("mean", arithmetic("/", [F.col("total"), F.col("n")]))
-        .orderBy(F.desc("bucket"), "event_type")
-        .limit(1000)
-    )
+    return rolled.withColumn("mean", arithmetic("/", [F.col("total"), F.col("n")])).orderBy(F.desc("bucket"), "event_type")

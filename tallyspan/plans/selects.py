@@ -15,13 +15,20 @@ c = F.col
 @query(
     "select_events",
     """
-    SELECT ts AS __time, event_type, value FROM events
+    SELECT ts AS __time, event_type, value, NULL::BIGINT AS event_id, NULL::BIGINT AS user_id, NULL AS props FROM events
     WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12' AND event_type <> 'view'
+    UNION ALL SELECT ts, event_type, value, event_id, user_id, props FROM events WHERE ts >= TIMESTAMP '2024-01-20' AND ts < TIMESTAMP '2024-01-21'
     """,
 )
 def select_events(t):
+    # empty lists mean all columns
+    whole = s.select_events(t.events, "ts", [_span("2024-01-20", "2024-01-21")])
+    return _chosen(t).unionByName(whole, allowMissingColumns=True)
+
+
+def _chosen(t):
     return s.select_events(
-        t.events, "ts", [_span("2024-01-05", "2024-01-12")], ["event_type"], ["value"], s.none_of(c("event_type") == "view")
+        t.events, "ts", [_span("2024-01-05", "2024-01-12")], ["event_type"], ["value"], s.value_is_not(t.events, "event_type", "view")
     )
 
 
@@ -110,7 +117,7 @@ def filter_or(t):
 @query("filter_not", f"SELECT {', '.join(LINE)} FROM lineitem WHERE NOT coalesce({FLAG} = 'A', false)")
 def filter_not(t):
     rows = _lines(t)
-    return rows.where(s.none_of(c("flag") == "A")).select(*LINE)
+    return rows.where(s.value_is_not(rows, "flag", "A")).select(*LINE)
 
 
 @query("filter_true", "SELECT o_orderkey, o_custkey FROM orders WHERE true")
@@ -310,15 +317,26 @@ PAGED = f"r AS (SELECT *, {DAY} AS segment FROM events)"
       AND o < CASE WHEN segment = 'events_2024-01-03' THEN 30 WHEN segment = 'events_2024-01-04' THEN 16 ELSE 10 END
     UNION ALL
     SELECT segment, event_id, value, o::BIGINT, 'deep' FROM n WHERE o >= 100 AND o < 5100
+    UNION ALL
+    SELECT segment, event_id, value, o::BIGINT, 'bucket' FROM (
+      SELECT *, row_number() OVER (PARTITION BY segment, time_bucket(INTERVAL '6 hours', ts) ORDER BY ts, event_id) - 1 AS o FROM r) WHERE o >= 3 AND o < 8
     """,
 )
 def select_paged(t):
     rows = _by_day(t).select("segment", "ts", "event_id", "value")
     shallow = s.page(rows, ["segment"], "ts", "event_id", {"events_2024-01-03": 19, "events_2024-01-04": 5}, 10)
-    # stored cursors as a table: every segment goes on after offset 99 with a page beyond the bounded top-n
+    # stored cursors as a table: every segment goes on after offset 99
     cursors = rows.select("segment").distinct().withColumn("paging_offset", F.lit(99))
     deep = s.page(rows, ["segment"], "ts", "event_id", cursors, 5000)
+    # a page per segment and granularity bucket, each with its own stored cursor
+    bucketed = rows.withColumn("bucket", granularity("six_hour").start(c("ts")))
+    stored = bucketed.select("segment", "bucket").distinct().withColumn("paging_offset", F.lit(2))
+    per_bucket = s.page(bucketed, ["segment", "bucket"], "ts", "event_id", stored, 5)
     shown = ["segment", "event_id", "value", "paging_offset"]
+    return per_bucket.select(*shown, F.lit("bucket").alias("depth")).unionByName(_depths(shallow, deep, shown))
+
+
+def _depths(shallow, deep, shown):
     return shallow.select(*shown, F.lit("shallow").alias("depth")).unionByName(deep.select(*shown, F.lit("deep").alias("depth")))
 
 

@@ -58,21 +58,30 @@ def spatial_radius(t):
     return _points(t).where(sp.in_radius(c("at"), [0.02, 0.03], 0.12)).select("vec_id")
 
 
+LEVEL_SQL = "(CASE vec_id % 5 WHEN 0 THEN 0.0 WHEN 1 THEN 0.2 WHEN 2 THEN 0.0 WHEN 3 THEN -0.2 ELSE -0.05 END)"
 XS, YS = [-0.2, 0.0, 0.2, 0.1, 0.0], [0.0, 0.2, 0.0, -0.2, -0.05]
 
 
 @query(
     "spatial_polygon",
     f"""
-    WITH {POINTS}, k AS (SELECT unnest([0, 1, 2, 3, 4]) AS i, unnest({XS}::FLOAT[]) AS x1, unnest({YS}::FLOAT[]) AS y1,
-      unnest({XS[-1:] + XS[:-1]}::FLOAT[]) AS x2, unnest({YS[-1:] + YS[:-1]}::FLOAT[]) AS y2),
-    h AS (SELECT vec_id, count(*) AS n FROM p JOIN k ON y BETWEEN least(y1, y2) AND greatest(y1, y2) AND y1 <> y2 AND x >= least(x1, x2)
-      AND x1 + (y - y1) / (y2 - y1) * (x2 - x1) < x GROUP BY 1)
-    SELECT vec_id FROM h WHERE n % 2 = 1
+    WITH {POINTS}, k AS (SELECT unnest({XS}::FLOAT[])::DOUBLE AS ax, unnest({YS}::FLOAT[])::DOUBLE AS ay,
+      unnest({XS[1:] + XS[:1]}::FLOAT[])::DOUBLE AS bx, unnest({YS[1:] + YS[:1]}::FLOAT[])::DOUBLE AS "by"),
+    q AS (SELECT vec_id, x::DOUBLE AS x, y::DOUBLE AS y, 'as they are' AS points FROM p
+      UNION ALL SELECT vec_id, x::DOUBLE, {LEVEL_SQL}::FLOAT::DOUBLE, 'level with corners' FROM p),
+    t AS (SELECT *, (bx - ax) * (y - ay) - ("by" - ay) * (x - ax) AS turn FROM q, k)
+    SELECT vec_id, points FROM t GROUP BY ALL
+    HAVING bool_or(turn = 0 AND x BETWEEN least(ax, bx) AND greatest(ax, bx) AND y BETWEEN least(ay, "by") AND greatest(ay, "by"))
+      OR count(*) FILTER (WHERE (ay <= y) <> ("by" <= y) AND ((turn > 0) = ("by" > ay)) AND turn <> 0) % 2 = 1
     """,
 )
 def spatial_polygon(t):
-    return _points(t).where(sp.in_polygon(c("at"), XS, YS)).select("vec_id")
+    points = _points(t).withColumn("points", F.lit("as they are"))
+    # every point once more at the height of one of the corners
+    heights = F.array(*[F.lit(v).cast("float") for v in YS])
+    at = F.array(F.get("at", 0), F.get(heights, (c("vec_id") % len(YS)).cast("int")))
+    level = _points(t).withColumns({"at": at, "points": F.lit("level with corners")})
+    return points.unionByName(level).where(sp.in_polygon(c("at"), XS, YS)).select("vec_id", "points")
 
 
 @query(

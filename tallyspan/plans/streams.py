@@ -36,9 +36,9 @@ def rollup_stream(t):
 @query(
     "alert_outbox_stream",
     """
-    WITH r AS (SELECT event_id AS request_id, '[' || upper(CASE WHEN value > 50 THEN 'fatal' ELSE 'warn' END) || '] event ' || event_id AS subject,
+    WITH r AS (SELECT event_id AS request_id, '[' || upper(CASE event_type WHEN 'error' THEN 'fatal' WHEN 'purchase' THEN 'warn' ELSE 'info' END) || '] event ' || event_id AS subject,
       CASE user_id % 3 WHEN 0 THEN ['ops@example.com'] WHEN 1 THEN ['ops@example.com', 'user' || user_id || '@example.com'] ELSE [] END AS tos
-      FROM events WHERE event_type = 'error')
+      FROM events)
     SELECT request_id, subject, unnest(tos) AS recipient, false AS missing_recipient FROM r
     UNION ALL SELECT request_id, subject, NULL, true FROM r WHERE len(tos) = 0
     """,

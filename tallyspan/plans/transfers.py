@@ -5,8 +5,9 @@ the range plan over the whole table, the typed rows and the replace rules.
 """
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyspan.functions import hivetypes as ht
 from tallyspan.operators.intervals import within
@@ -30,19 +31,33 @@ c = F.col
 )
 def jdbc_range_scan(t):
     lo, hi = t.orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    # one read per predicate, as the database source makes them
     predicates = r.range_predicates("o_orderkey", r.ranges(lo, hi, 10))
-    return t.orders.groupBy(r.task_of(predicates).alias("task")).agg(
+    return _read_by(t.orders, predicates).groupBy("task").agg(
         F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")
     )
 
 
+def _read_by(table, predicates):
+    """The partitions of a split read, with their number."""
+    return reduce(DataFrame.unionByName, [table.where(p).withColumn("task", F.lit(i)) for i, p in enumerate(predicates)])
+
+
 @query(
     "jdbc_offset_scan",
-    "SELECT c_custkey, c_name, ((row_number() OVER (ORDER BY c_custkey) - 1) // 400)::BIGINT AS page FROM customer",
+    """
+    SELECT 'page' AS how, c_custkey::VARCHAR AS key, ((row_number() OVER (ORDER BY c_custkey) - 1) // 400)::BIGINT AS part FROM customer
+    UNION ALL SELECT 'remainder', c_custkey::VARCHAR, (c_custkey % 4)::BIGINT FROM customer
+    UNION ALL SELECT 'hashed', c_name, ord(right(c_name, 1)) % 3 FROM customer
+    """,
 )
 def jdbc_offset_scan(t):
-    rows = with_position(t.customer.select("c_custkey", "c_name"), [], ["c_custkey"])
-    return rows.select("c_custkey", "c_name", F.call_function("div", c("position"), F.lit(400)).alias("page"))
+    # pages by position, and what a read without a split key uses instead: remainders of the key, or of its hash
+    paged = with_position(t.customer.select("c_custkey"), [], ["c_custkey"])
+    page = paged.select(F.lit("page").alias("how"), c("c_custkey").cast("string").alias("key"), F.call_function("div", c("position"), F.lit(400)).alias("part"))
+    plain = _read_by(t.customer, r.hash_predicates("c_custkey", 4)).select(F.lit("remainder").alias("how"), c("c_custkey").cast("string").alias("key"), c("task").cast("long").alias("part"))
+    hashed = _read_by(t.customer, r.hash_predicates("c_name", 3, "ASCII(RIGHT(c_name, 1))"))
+    return page.unionByName(plain).unionByName(hashed.select(F.lit("hashed").alias("how"), c("c_name").alias("key"), c("task").cast("long").alias("part")))
 
 
 @query(
@@ -62,7 +77,7 @@ def default_split_key(t):
     for how, (configured, keys) in cases.items():
         key = r.default_split_key(configured, keys)
         predicates = r.range_predicates(key, r.ranges(lo, hi, 4)) if key else ["1 = 1"]
-        counted = rows.groupBy(r.task_of(predicates).alias("task")).agg(F.count(F.lit(1)).alias("n"))
+        counted = _read_by(rows, predicates).groupBy("task").agg(F.count(F.lit(1)).alias("n"))
         out.append(counted.select(F.lit(how).alias("how"), F.lit(key).cast("string").alias("split_key"), "task", "n"))
     return out[0].unionByName(out[1]).unionByName(out[2])
 
@@ -247,7 +262,7 @@ def transfer_audit(t):
 
 @query(
     "partition_replace",
-    "SELECT event_id, ts::DATE AS date, CASE WHEN ts::DATE = DATE '2024-01-07' THEN -value ELSE value END AS value FROM events WHERE NOT (ts::DATE = DATE '2024-01-07' AND event_type = 'view')",
+    "SELECT event_id, ts::DATE AS date, CASE WHEN ts::DATE = DATE '2024-01-07' THEN -value ELSE value END AS value FROM events WHERE NOT (ts::DATE = DATE '2024-01-07' AND event_type = 'view') AND ts::DATE <> DATE '2024-01-09'",
 )
 def partition_replace(t):
     path = scratch_path(t.spark, "replace")
@@ -256,6 +271,8 @@ def partition_replace(t):
     again = rows.where((c("date") == F.lit("2024-01-07").cast("date")) & (c("event_type") != "view"))
     for _ in range(2):  # loading a date again changes nothing
         tr.replace_partitions(again.select("event_id", "date", (-c("value")).alias("value")), path, ["date"])
+    # a reload that finds no rows leaves the date empty
+    tr.replace_partitions(rows.drop("event_type").where("false"), path, ["date"], [("2024-01-09",)])
     return t.spark.read.schema("event_id long, value double, date date").parquet(path)
 
 
@@ -304,15 +321,23 @@ def target_type_map(t):
 
 @query(
     "jdbc_replace_export",
-    "SELECT c_custkey, c_name, c_mktsegment FROM customer",
+    "SELECT c_custkey, c_name, c_acctbal::DECIMAL(15,2)::VARCHAR AS c_acctbal FROM customer",
 )
 def jdbc_replace_export(t):
-    # the rows and types that replace_export sends; here the target is a table in the lake
-    rows = t.customer.select("c_custkey", "c_name", "c_mktsegment")
-    path = scratch_path(t.spark, "target")
-    rows.limit(0).write.parquet(path)
-    rows.write.mode("overwrite").parquet(path)
-    return t.spark.read.schema(rows.schema).parquet(path)
+    # rows in the column types that the target gets; here the target is a table in the lake
+    name = f"target_{uuid.uuid4().hex}"
+    rows = t.customer.select("c_custkey", "c_name", c("c_acctbal").cast("decimal(15,2)").alias("c_acctbal"))
+    tr.replace_table(rows.limit(0).select("c_custkey"), name, scratch_path(t.spark, "target"))
+    sent = tr.replace_table(rows.select(*[_as_sent(*x.split(" ", 1)) for x in jdbc.column_types(rows).split(", ")]), name, scratch_path(t.spark, "target"))
+    return sent.withColumn("c_acctbal", c("c_acctbal").cast("string"))
+
+
+def _as_sent(name, kind):
+    """A column as the target's type takes it: a text that is too long fails."""
+    if not kind.startswith("VARCHAR"):
+        return c(name).cast(kind).alias(name)
+    long = F.length(name) > int(kind[len("VARCHAR(") : -1])
+    return F.when(long, F.raise_error(F.lit(f"{name} is longer than {kind}")).cast("string")).otherwise(c(name)).alias(name)
 
 
 @query(
@@ -323,8 +348,11 @@ def jdbc_dated_export(t):
     # delete-then-append of one date is, in the lake, the replacement of that date's partition
     sql = "SELECT o_orderkey, o_totalprice, to_date(o_orderdate) AS day FROM {orders} WHERE o_orderdate >= cast(:date AS timestamp) AND o_orderdate < cast(:date AS timestamp) + interval 1 day"
     path = scratch_path(t.spark, "dated")
-    for day in ("1997-03-03", "1997-03-04", "1997-03-03"):
-        tr.replace_partitions(jdbc.dated_rows(t.spark, sql, day, orders=t.orders), path, ["day"])
+    for day in ("1997-03-03", "1997-03-04", "1997-03-05", "1997-03-03"):
+        tr.replace_partitions(jdbc.dated_rows(t.spark, sql, day, orders=t.orders), path, ["day"], [(day,)])
+    # the last day again, from a source that has no rows of it any more
+    gone = t.orders.where("false")
+    tr.replace_partitions(jdbc.dated_rows(t.spark, sql, "1997-03-05", orders=gone), path, ["day"], [("1997-03-05",)])
     return t.spark.read.schema("o_orderkey long, o_totalprice double, day date").parquet(path)
 
 

@@ -46,7 +46,8 @@ def extract_partial(t):
     SELECT o_orderkey, strftime(o_orderdate, '%A, %d %B %Y') AS long_text,
       strftime(o_orderdate AT TIME ZONE 'UTC' AT TIME ZONE 'Asia/Shanghai', '%Y-%m-%d %H') AS shanghai,
       strftime(date_trunc('month', o_orderdate), '%Y-%m-%dT%H:%M:%S.000Z') AS month_iso,
-      epoch_ms(date_trunc('week', o_orderdate)::TIMESTAMP)::VARCHAR AS week_millis
+      epoch_ms(date_trunc('week', o_orderdate)::TIMESTAMP)::VARCHAR AS week_millis,
+      ['lundi', 'mardi', 'mercredi', 'jeudi', 'vendredi', 'samedi', 'dimanche'][isodow(o_orderdate)] || strftime(o_orderdate, ', %d.%m.%Y') AS french
     FROM orders
     """,
 )
@@ -58,6 +59,7 @@ def extract_time_format(t):
         x.time_format("yyyy-MM-dd HH", "Asia/Shanghai")(d).alias("shanghai"),
         x.time_format(gran=granularity("month"))(d).alias("month_iso"),
         x.time_format(gran=granularity("week"), as_millis=True)(d).alias("week_millis"),
+        x.time_format("EEEE, dd.MM.yyyy", locale="fr-FR")(d).alias("french"),
     )
 
 
@@ -117,14 +119,14 @@ def extract_string_format(t):
     )
 
 
-@query("extract_upper", f"SELECT p_partkey, nullif(upper({NULL_NAME}), '') AS v FROM part")
+@query("extract_upper", f"SELECT p_partkey, nullif(upper({NULL_NAME}), '') AS v, upper(replace(p_type, 'i', 'İ')) AS turkish FROM part")
 def extract_upper(t):
-    return t.part.select("p_partkey", x.upper()(_null_name()).alias("v"))
+    return t.part.select("p_partkey", x.upper()(_null_name()).alias("v"), x.upper("tr-TR")(c("p_type")).alias("turkish"))
 
 
-@query("extract_lower", "SELECT p_partkey, lower(p_type) AS v, lower(p_brand) AS brand FROM part")
+@query("extract_lower", "SELECT p_partkey, lower(p_type) AS v, lower(p_brand) AS brand, lower(replace(p_type, 'I', 'ı')) AS turkish FROM part")
 def extract_lower(t):
-    return t.part.select("p_partkey", x.lower()(c("p_type")).alias("v"), x.lower()(c("p_brand")).alias("brand"))
+    return t.part.select("p_partkey", x.lower()(c("p_type")).alias("v"), x.lower()(c("p_brand")).alias("brand"), x.lower("tr")(c("p_type")).alias("turkish"))
 
 
 @query(

@@ -17,9 +17,6 @@ CTRL_A = "\u0001"
 
 REASON = "_reason"
 
-# A table of one row per file is broadcast up to this many bytes.
-BROADCAST_BYTES = 128 * 1024 * 1024
-
 
 def check_names(names: list[str]) -> None:
     """Duplicate field names, in any case, are an error."""
@@ -78,9 +75,6 @@ def read_delimited_files(
         F.monotonically_increasing_id().alias("_id"),
     )
     begins = lines.where("_block = 0").groupBy("_file").agg(F.min("_id").alias("_begin"))
-    # one row per file; sent to all tasks only while its measured size allows
-    size = begins.agg(F.sum(F.length("_file") + 32)).first()[0] or 0
-    begins = F.broadcast(begins) if size <= BROADCAST_BYTES else begins
     placed = lines.join(begins, "_file").withColumn("_line", F.when(F.col("_block") == 0, F.col("_id") - F.col("_begin")))
     if has_header:
         heads = placed.where(F.col("_line") == skip).select("value").distinct().limit(2).collect()
@@ -233,6 +227,8 @@ def decode_text(c: Column, charset: str = "UTF-8") -> Column:
     """Bytes → text with malformed bytes replaced by U+FFFD."""
     if charset.upper() in ("UTF-8", "UTF8"):
         return F.make_valid_utf8(c.cast("string"))
+    if charset.upper() in ("ISO-8859-1", "LATIN1"):  # every byte is a character: nothing can be malformed
+        return F.decode(c, "ISO-8859-1")
     return _decoder(charset)(c)
 
 

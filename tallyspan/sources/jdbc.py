@@ -26,8 +26,9 @@ def range_scan(
     split_key: str | None = None,
     primary_keys: list[str] = (),
     fields: list[str] | None = None,
+    hashed: str | None = None,
 ) -> DataFrame:
-    """Partitioned scan on a numeric key, or on the remainder of the first primary key without one."""
+    """Partitioned scan on a numeric key, or without one on the remainder of the first primary key (or of its hash)."""
     key = default_split_key(split_key, list(primary_keys))
     if key:
         probe = f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}) probe"
@@ -35,7 +36,7 @@ def range_scan(
         parts = ranges(int(lo), int(hi), tasks) if lo is not None else []
         predicates = range_predicates(key, parts)
     elif primary_keys:
-        predicates = hash_predicates(primary_keys[0], tasks)
+        predicates = hash_predicates(primary_keys[0], tasks, hashed)
     else:
         predicates = ["1 = 1"]
     df = spark.read.jdbc(url, table, predicates=predicates, properties=properties)

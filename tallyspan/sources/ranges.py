@@ -23,9 +23,14 @@ def range_predicates(key: str, parts: list[tuple[int, int]], nullable: bool = Tr
     return [*out, f"{key} IS NULL"] if nullable or not out else out
 
 
-def hash_predicates(key: str, n: int) -> list[str]:
-    """Without a split key: one predicate per remainder of an integer key, negative keys included."""
-    return [f"MOD(MOD({key}, {n}) + {n}, {n}) = {i}" for i in range(n)] + [f"{key} IS NULL"]
+def hash_predicates(key: str, n: int, hashed: str | None = None) -> list[str]:
+    """Without a split key: one predicate per remainder of an integer key, negative keys included.
+
+    A key that is no integer needs ``hashed``: the database's hash of it, as an integer expression
+    (``CRC32(name)``, ``ORA_HASH(name)`` …).
+    """
+    number = hashed or key
+    return [f"MOD(MOD({number}, {n}) + {n}, {n}) = {i}" for i in range(n)] + [f"{key} IS NULL"]
 
 
 def default_split_key(configured: str | None, primary_keys: list[str]) -> str | None:
@@ -54,15 +59,17 @@ def balanced_ranges(tables: DataFrame, tasks: int) -> DataFrame:
     """
     total = F.sum("rows").over(Window.partitionBy())
     sized = tables.where("rows > 0").withColumn("_step", F.greatest(F.lit(1), F.ceil(total / F.lit(tasks))))
-    pieces = F.least(F.greatest(F.lit(1), F.ceil(F.col("rows") / F.col("_step"))), F.col("hi") - F.col("lo") + 1).cast("long")
+    keys = F.col("hi").cast("decimal(20,0)") - F.col("lo") + 1
+    pieces = F.least(F.greatest(F.lit(1), F.ceil(F.col("rows") / F.col("_step"))).cast("decimal(20,0)"), keys).cast("long")
     cut = (
         sized.withColumn("_n", pieces)
         .withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
-        .withColumn("_span", F.col("hi") + 1 - F.col("lo"))
     )
 
     def edge(i):
-        return F.col("lo") + F.call_function("div", F.col("_span") * i, F.col("_n"))
+        # in decimals: keys may spread over the whole range of longs
+        span = F.col("hi").cast("decimal(20,0)") + 1 - F.col("lo")
+        return (F.col("lo") + F.floor((span * i).cast("decimal(38,0)") / F.col("_n").cast("decimal(18,0)"))).cast("decimal(20,0)").try_cast("long")
 
     share = F.call_function("div", F.col("rows") * (F.col("_i") + 1), F.col("_n")) - F.call_function("div", F.col("rows") * F.col("_i"), F.col("_n"))
     out = cut.select("table", edge(F.col("_i")).alias("lo"), edge(F.col("_i") + 1).alias("hi"), share.alias("rows"), "_step")

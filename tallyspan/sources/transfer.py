@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -77,8 +78,13 @@ def write_audited(df: DataFrame, path: str, parts: list[str]) -> int:
     return seen.get["rows"]
 
 
-def replace_partitions(df: DataFrame, path: str, parts: list[str]) -> None:
-    """Replace exactly the partitions that ``df`` has rows for; the others stay."""
+def replace_partitions(df: DataFrame, path: str, parts: list[str], values: list[tuple] = ()) -> None:
+    """Replace the partitions that ``df`` has rows for and those named in ``values``; the others stay.
+
+    A named partition that gets no rows is dropped, so a reload without rows leaves nothing of the earlier load.
+    """
+    spark = df.sparkSession
+    named = {"/".join(f"{p}={v}" for p, v in zip(parts, value)) for value in values}
     (
         df.hint("rebalance", *[F.col(p) for p in parts])
         .write.mode("overwrite")
@@ -86,6 +92,17 @@ def replace_partitions(df: DataFrame, path: str, parts: list[str]) -> None:
         .partitionBy(*parts)
         .parquet(path)
     )
+    if named:
+        filled = {"/".join(f"{p}={r[p]}" for p in parts) for r in df.where(_any_of(parts, values)).select(*parts).distinct().collect()}
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        for name in sorted(named - filled):
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, name), True)
+
+
+def _any_of(parts: list[str], values: list[tuple]) -> Column:
+    """Rows of the named partitions."""
+    return reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.col(p).cast("string") == F.lit(str(v)) for p, v in zip(parts, value)]) for value in values])
 
 
 def write_targets(parts: list[tuple[str, str, DataFrame]], path: str) -> None:
@@ -127,10 +144,8 @@ def audit(df: DataFrame) -> DataFrame:
 
 
 def like_pattern(name: str, pattern: str) -> bool:
-    """SQL LIKE on a table name, with ``%`` as the only wildcard."""
-    import fnmatch
-
-    return fnmatch.fnmatchcase(name.lower(), pattern.lower().replace("%", "*"))
+    """SQL LIKE on a table name, with ``%`` as the only wildcard; case does not matter."""
+    return re.fullmatch(".*".join(map(re.escape, pattern.lower().split("%"))), name.lower(), re.S) is not None
 
 
 def wildcard_union(spark: SparkSession, pattern: str, names: list[str] | None = None, read=None) -> DataFrame:

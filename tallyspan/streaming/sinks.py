@@ -11,9 +11,18 @@ BATCH = "_batch"
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 1000) -> DataFrame:
-    """A table folder as a file stream."""
-    reader = spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}*.parquet")
-    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(sf_dir)
+    """A table as a file stream: a folder of part files, or one file among those of other tables."""
+    reader = spark.readStream.schema(SCHEMAS[name]).option("maxFilesPerTrigger", files_per_batch)
+    path = f"{sf_dir}/{name}.parquet"
+    if _status(spark, path, "isDirectory"):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def _status(spark: SparkSession, path: str, what: str) -> bool:
+    """``exists`` or ``isDirectory`` of a path, by Spark's own file systems."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return getattr(place.getFileSystem(spark._jsc.hadoopConfiguration()), what)(place)
 
 
 def run_available(stream: DataFrame, out: str, mode: str, checkpoint: str | None = None) -> None:
@@ -37,8 +46,11 @@ def run_available(stream: DataFrame, out: str, mode: str, checkpoint: str | None
 
 
 def read_batches(spark: SparkSession, schema: T.StructType, out: str) -> DataFrame:
-    """The output of ``run_available`` with the number of each row's micro-batch."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.IntegerType())])).parquet(out)
+    """The output of ``run_available`` with the number of each row's micro-batch; empty if the stream had no input."""
+    schema = T.StructType([*schema.fields, T.StructField(BATCH, T.IntegerType())])
+    if not _status(spark, out, "exists"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out)
 
 
 def latest(out: DataFrame, keys: list[str]) -> DataFrame:

@@ -97,7 +97,7 @@ def test_outbox_and_routes(spark, t):
     req = requests_of(t.events)
     box = al.outbox(req)
     assert box.where("missing_recipient").count() == req.where(F.size("to_address") == 0).count()
-    assert box.where(~c("subject").rlike(r"^\[(FATAL|WARN)\] event ")).count() == 0
+    assert box.where(~c("subject").rlike(r"^\[(FATAL|WARN|INFO)\] event ")).count() == 0
     odd = spark.createDataFrame([("remote_file", None, "sftp"), ("remote_file", ["x"], None), ("other", ["x"], "sftp")], "type string, remote_files array<string>, remote_type string")
     assert [r["route"] for r in al.route(odd).collect()] == ["body", "reject", "body"]
 

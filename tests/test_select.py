@@ -37,13 +37,11 @@ def ids(page, descending=False):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("deep", [False, True])
-def test_pages_joined_equal_the_whole(rows, slices, descending, deep, monkeypatch):
-    if deep:
-        monkeypatch.setattr(s, "SHALLOW_PAGE", 0)
+@pytest.mark.parametrize("cell", ["minute", "hour", "year"])
+def test_pages_joined_equal_the_whole(rows, descending, cell):
     want, got, cursor = expected(rows, descending), {}, None
     for _ in range(4):
-        page = s.page(rows, ["segment"], "ts", "id", cursor, 170, descending=descending).cache()
+        page = s.page(rows, ["segment"], "ts", "id", cursor, 170, descending=descending, cell=cell).cache()
         for k, v in ids(page, descending).items():
             got.setdefault(k, []).extend(v)
         new = {r["segment"]: r["paging_offset"] for r in s.paging_identifiers(page, ["segment"], descending).collect()}
@@ -63,6 +61,9 @@ def test_offsets(rows):
     assert ids(s.page(rows, ["segment"], "ts", "id", {"hot": 5}, 3, from_next=False))["hot"] == want["hot"][5:8]
     with pytest.raises(ValueError):
         s.page(rows, ["segment"], "ts", "id", {"hot": -5}, 3)
+    wrong = rows.sparkSession.createDataFrame([("hot", -5)], "segment string, paging_offset long")
+    with pytest.raises(Exception, match="sign of an offset"):
+        s.page(rows, ["segment"], "ts", "id", wrong, 3).collect()
     assert s.next_cursor({"a": 4}) == {"a": 5} and s.next_cursor({"a": -4}, True) == {"a": -5}
 
 
@@ -159,6 +160,29 @@ def test_select_plan_prunes_and_pushes(t):
     assert "props" not in plan and "user_id" not in plan
 
 
-def test_shallow_page_limits_before_the_shuffle(rows):
-    plan = s.page(rows, ["segment"], "ts", "id", {"hot": 5}, 10)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+@pytest.mark.parametrize("depth", [0, 998, 1000, 100_000])
+def test_pages_have_one_plan(t, depth):
+    rows = t.events.withColumn("segment", F.lit("all"))
+    page = s.page(rows, ["segment"], "ts", "event_id", {"all": depth}, 5)
+    order = [r["event_id"] for r in sorted(t.events.collect(), key=lambda r: (r["ts"], r["event_id"]))]
+    assert [r["event_id"] for r in page.orderBy("paging_offset").collect()] == order[depth + 1 : depth + 6]
+
+
+def test_values_reach_the_scan(t):
+    def pushed(p):
+        return t.events.where(p)._jdf.queryExecution().executedPlan().toString().split("PushedFilters: ")[1].split("]")[0]
+
+    assert "EqualNullSafe(event_type,view)" in pushed(s.value_is(t.events, "event_type", "view"))
+    assert "Not(EqualNullSafe(event_type,view))" in pushed(s.value_is_not(t.events, "event_type", "view"))
+    assert "user_id" in pushed(s.value_is(t.events, "user_id", "7"))
+    assert t.events.where(s.value_is(t.events, "user_id", "abc")).count() == 0
+    assert t.events.where(s.value_is_not(t.events, "user_id", "abc")).count() == t.events.count()
+
+
+def test_empty_lists_mean_all(t):
+    span = [(datetime(2024, 1, 2), datetime(2024, 1, 3))]
+    names = lambda *a, **k: s.select_events(t.events, "ts", span, *a, **k).columns
+    assert names() == ["__time", "event_id", "user_id", "event_type", "value", "props"]
+    assert names(["event_type"]) == ["__time", "event_type", "event_id", "user_id", "value", "props"]
+    assert names([], ["value"]) == ["__time", "event_id", "user_id", "event_type", "props", "value"]
+    assert names(all_dims=["event_type"], all_metrics=["value"]) == ["__time", "event_type", "value"]

@@ -139,14 +139,24 @@ def test_overlap_edges(spark, slices):
     assert sorted(r["id"] for r in iv.overlapping(left, right, ["k"]).collect()) == [2, 3]
 
 
-def test_interval_table_small_and_large(spark, slices, t, monkeypatch):
+def test_interval_table_against_brute_force(spark, slices, t):
     table = spark.createDataFrame([(d("2024-01-02"), d("2024-01-03")), (d("2024-01-02 12:00"), d("2024-01-04")), (d("2024-01-10"), d("2024-01-10 06:00"))], "start timestamp, end timestamp")
-    small = sorted(r[0] for r in iv.in_interval_table(t.events, "ts", table).select("event_id").collect())
-    monkeypatch.setattr(iv, "LITERAL_RANGES", 0)
-    large = sorted(r[0] for r in iv.in_interval_table(t.events, "ts", table).select("event_id").collect())
+    got = [sorted(r[0] for r in iv.in_interval_table(t.events, "ts", table, cell).select("event_id").collect()) for cell in ("hour", "day", "month")]
     lo, hi = d("2024-01-02"), d("2024-01-04")
     want = sorted(r["event_id"] for r in t.events.collect() if lo <= r["ts"] < hi or d("2024-01-10") <= r["ts"] < d("2024-01-10 06:00"))
-    assert small == large == want
+    assert got == [want] * 3
+    assert iv.in_interval_table(t.events, "ts", table.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 199, 200, 201, 5000])
+def test_any_number_of_intervals_has_one_plan(t, n):
+    base = d("2024-01-02")
+    spans = [(base + timedelta(minutes=7 * i), base + timedelta(minutes=7 * i + 3)) for i in range(n)]
+    out = iv.in_intervals(t.events, "ts", spans)
+    want = sorted(r["event_id"] for r in t.events.collect() if any(a <= r["ts"] < z for a, z in spans))
+    assert sorted(r["event_id"] for r in out.collect()) == want
+    pushed = out._jdf.queryExecution().executedPlan().toString().split("PushedFilters: ")[1].split("]")[0]
+    assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
 
 
 def test_overlap_against_brute_force(spark, slices):

@@ -82,6 +82,8 @@ def test_replace_partitions_leaves_others(spark, tmp_path):
     tr.replace_partitions(spark.range(100, 102).withColumn("p", F.lit(1).cast("long")), path, ["p"])
     tr.replace_partitions(spark.range(100, 102).withColumn("p", F.lit(1).cast("long")), path, ["p"])
     assert sorted(x["id"] for x in spark.read.parquet(path).collect()) == [0, 2, 4, 6, 8, 100, 101]
+    tr.replace_partitions(spark.range(0).withColumn("p", c("id") % 2), path, ["p"], [(1,), (7,)])
+    assert sorted(x["id"] for x in spark.read.parquet(path).collect()) == [0, 2, 4, 6, 8]
 
 
 def test_replace_table(spark, tmp_path):
@@ -104,6 +106,7 @@ def test_audited_write(spark, tmp_path):
 
 def test_wildcards(spark):
     assert tr.like_pattern("orders_1997", "ORDERS_%") and not tr.like_pattern("x_orders", "orders%")
+    assert tr.like_pattern("t_[a]", "t_[a]") and not tr.like_pattern("t_a", "t_[a]") and not tr.like_pattern("tab", "t?b")
     spark.range(2).createOrReplaceTempView("part_a")
     spark.range(3).createOrReplaceTempView("part_b")
     got = tr.wildcard_union(spark, "part_%").groupBy("source_table").count().collect()
