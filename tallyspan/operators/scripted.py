@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
+HELD = 100_000
 
 def scripted_aggregate(
     df: DataFrame,
@@ -22,7 +23,9 @@ def scripted_aggregate(
 ) -> DataFrame:
     """``fold`` runs over Arrow batches where the rows are, so no group is ever gathered whole.
 
-    Only the states travel: one per (group, batch), merged first per slot and then per group.
+    A task keeps one state per group and hands it on once; beyond ``HELD`` groups it hands on what it has and
+    starts anew. ``reset`` gives a neutral state: combining it with any other changes nothing. The states are
+    merged first per slot and then per group.
     """
     keys = [df.schema[g] for g in group]
     state = T.StructType([*keys, T.StructField("_slot", T.IntegerType()), T.StructField(name, T.DoubleType())])
@@ -30,11 +33,20 @@ def scripted_aggregate(
 
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part_no = TaskContext.get().partitionId()
-        for i, batch in enumerate(batches):
-            rows = []
+        states: dict[tuple, float] = {}
+
+        def handed_on() -> pd.DataFrame:
+            rows = [(*key, part_no % fan, s) for key, s in states.items()]
+            states.clear()
+            return pd.DataFrame(rows, columns=[*group, "_slot", name])
+
+        for batch in batches:
             for key, part in batch.groupby(group, dropna=False, sort=False):
-                rows.append((*key, (part_no + i) % fan, fold(reset(), part)))
-            yield pd.DataFrame(rows, columns=[*group, "_slot", name])
+                key = tuple(None if pd.isna(k) else k for k in key)
+                states[key] = fold(states[key] if key in states else reset(), part)
+            if len(states) > HELD:
+                yield handed_on()
+        yield handed_on()
 
     def merge(kept: list[str], schema: T.StructType):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:

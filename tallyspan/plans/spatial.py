@@ -87,18 +87,22 @@ def spatial_polygon(t):
 @query(
     "spatial_join",
     f"""
-    WITH {POINTS}, b AS (SELECT vec_id AS box_id, x AS min_x, (x + (1 + vec_id % 5) * 0.01)::FLOAT AS max_x, y AS min_y, (y + (1 + vec_id % 3) * 0.02)::FLOAT AS max_y FROM p)
+    WITH {POINTS}, b AS (SELECT min(vec_id)::BIGINT AS box_id, min(x) AS min_x, (max(x) + (1 + min(vec_id) % 5) * 0.01)::FLOAT AS max_x, min(y) AS min_y, (max(y) + 0.02)::FLOAT AS max_y
+      FROM p GROUP BY floor(x * 10), floor(y * 10))
     SELECT vec_id, box_id FROM p JOIN b ON x >= min_x AND x <= max_x AND y >= min_y AND y <= max_y
     """,
 )
 def spatial_join(t):
     points = _points(t).select("vec_id", F.get("at", 0).alias("x"), F.get("at", 1).alias("y"))
-    k = c("vec_id")
-    boxes = points.select(
-        k.alias("box_id"),
-        c("x").alias("min_x"),
-        (c("x").cast("double") + (1 + k % 5) * 0.01).cast("float").alias("max_x"),
-        c("y").alias("min_y"),
-        (c("y").cast("double") + (1 + k % 3) * 0.02).cast("float").alias("max_y"),
+    # one box per grid cell, a little larger than its points: as many as the area has cells, however many points
+    cells = points.groupBy(F.floor(c("x") * 10), F.floor(c("y") * 10)).agg(
+        F.min("vec_id").alias("box_id"), F.min("x").alias("min_x"), F.max("x").alias("x"), F.min("y").alias("min_y"), F.max("y").alias("y")
+    )
+    boxes = cells.select(
+        "box_id",
+        "min_x",
+        (c("x").cast("double") + (1 + c("box_id") % 5) * 0.01).cast("float").alias("max_x"),
+        "min_y",
+        (c("y").cast("double") + 0.02).cast("float").alias("max_y"),
     )
     return join_boxes(points, "x", "y", boxes).select("vec_id", "box_id")

@@ -88,12 +88,9 @@ def read_delimited_files(
 # JSON -----------------------------------------------------------------------------------------------
 
 
-def discover_json_fields(lines: DataFrame, column: str) -> dict[str, str]:
-    """Field name → type over all rows: scalars and flat lists; nested and null values are left out.
-
-    Whole numbers are long, other numbers double, mixed kinds string. Only (name, kind) pairs are
-    counted; the driver sees one row per field.
-    """
+def json_field_table(lines: DataFrame, column: str) -> DataFrame:
+    """(key, a_list, a_scalar, all_long, all_number) of every field: scalars and flat lists; nested and null values
+    are left out. One row per field, in Spark: where keys are data there may be many."""
     kv = lines.select(F.try_parse_json(F.col(column)).alias("_v"))
     parts = kv.lateralJoin(kv.sparkSession.tvf.variant_explode(F.col("_v").outer()))
     # only a list of mixed parts has to be looked into
@@ -104,7 +101,7 @@ def discover_json_fields(lines: DataFrame, column: str) -> dict[str, str]:
     number = kinds.rlike("^(DECIMAL|DOUBLE|FLOAT)")
     flat_list = F.coalesce("mixed_flat", kinds.rlike("^ARRAY<") & ~kinds.rlike("^ARRAY<(ARRAY|OBJECT)"))
     scalar = ~kinds.rlike("^(OBJECT|ARRAY|VOID|NULL)")
-    rows = (
+    return (
         fields.distinct()
         .groupBy("key")
         .agg(
@@ -114,8 +111,18 @@ def discover_json_fields(lines: DataFrame, column: str) -> dict[str, str]:
             F.min(F.when(scalar, (kinds == "BIGINT") | number)).alias("all_number"),
         )
         .where("a_list or a_scalar")
-        .collect()
     )
+
+
+def discover_json_fields(lines: DataFrame, column: str, most: int = 2000) -> dict[str, str]:
+    """Field name → type over all rows. Runs a job when called.
+
+    Whole numbers are long, other numbers double, mixed kinds string. More than ``most`` fields fail: keys are then
+    data rather than columns, and the caller picks from ``json_field_table``.
+    """
+    rows = json_field_table(lines, column).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} fields: choose some of json_field_table")
     out = {}
     for r in sorted(rows, key=lambda r: r["key"]):
         if r["a_list"]:
