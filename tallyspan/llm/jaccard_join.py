@@ -382,7 +382,7 @@ def grouped(docs: DataFrame, n: int, percent: int) -> DataFrame:
     distinct = sets.where(F.col("n") > 0).groupBy("fp").agg(F.first("n").alias("n"), F.first("small").alias("small"))
     entries = sets.agg(F.sum("n")).first()[0] or 0
     hot = (
-        described.where("hot is not null").groupBy("hot").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "hot").limit(HOT_MOST).select("hot").toPandas()["hot"]
+        described.where("hot is not null").groupBy("hot").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "hot").limit(HOT_MOST).select("hot").toArrow()["hot"].to_numpy()
     )
     frequent = spark.sparkContext.broadcast(np.sort(np.array(hot, np.int64).view(U64)))
     floor = least_overlap(most + 1, percent)

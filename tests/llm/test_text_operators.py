@@ -398,7 +398,7 @@ def test_kneser_ney_equals_the_formulas(spark):
     keys = quality.gram_keys(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
     counts = collections.Counter(keys.tolist())
     rows_ = spark.createDataFrame([("en", k, c) for k, c in counts.items()], "lang string, key long, c long")
-    table = quality.dense(quality.kneser_ney(rows_).toPandas(), ["en"])[0]
+    table = quality.dense(quality.kneser_ney(rows_), ["en"])[0]
     p = plain_kneser_ney(counts, quality.ORDER, quality.SYMBOLS, quality.BITS)
     rng = np.random.default_rng(0)
     for key in [*list(counts)[:40], *rng.integers(0, 1 << 20, 40).tolist()]:
