@@ -52,6 +52,8 @@ NO_ARTICLE_NAMES = frozenset(
     " cookies disclaimer disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification popup"
     " promo promotion related respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Words that mark such names by how they begin ("cookiebar", "commentList", "advertising").
+NO_ARTICLE_STARTS = ("advert", "breadcrumb", "comment", "cookie", "navbar", "newsletter", "sidebar", "sponsor")
 
 _COMMENT = re.compile(r"<!--(?:>|->)|<!--.*?(?:--!?>|\Z)", re.S)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>")
@@ -191,7 +193,7 @@ def no_article(node: Node) -> bool:
             if name == "role":
                 if value.lower() in NO_ARTICLE_ROLES:
                     return True
-            elif any(w.lower() in NO_ARTICLE_NAMES for w in _NAME.findall(value)):
+            elif any(w in NO_ARTICLE_NAMES or w.startswith(NO_ARTICLE_STARTS) for w in (x.lower() for x in _NAME.findall(value))):
                 return True
     return False
 

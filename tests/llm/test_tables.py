@@ -108,6 +108,7 @@ def text_of(page):
         ("<article><p>cut <b", "cut"),
         ("<article><p title='a>b' class=\"x\">5 < 6 && 7 > 3 &lt;p&gt; &#233;&nbsp;z</p></article>", "5 < 6 && 7 > 3 <p> é z"),
         ("<article><p>a<textarea>no</textarea><svg><text>no</text></svg><noscript>no</noscript>b</p></article>", "ab"),
+        ("<article><p>a</p><div id='cookiebar'>no</div><div class='commentList2'>no</div><p class='lead ad-free'>no</p></article>", "a"),
         ("", ""),
         ("<<<>>>&&&", "<<<>>>&&&"),
         ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
