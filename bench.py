@@ -13,7 +13,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tallyspan.plans import QUERIES
-from tallyspan.session import local_session
+from tallyspan.session import clear_scratch, local_session
 
 HEADLINE = [
     "hourly_rollup", "rollup", "re_rollup", "rollup_stream", "rollup_discover_dims",
@@ -41,7 +41,9 @@ def main():
     def run(key):
         start = time.perf_counter()
         QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - start
+        took = time.perf_counter() - start
+        clear_scratch(spark)
+        return took
 
     seconds = {}
     for key in keys:

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SCRATCH_CONF = "spark.tallyspan.scratch"
+_written: list[str] = []
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -74,11 +75,26 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/tallyspan/{name}-{uuid.uuid4().hex}"
+    """A new folder in the shared one; ``clear_scratch`` removes it."""
+    path = f"{scratch_dir(spark)}/tallyspan/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this process has written to the shared folder; returns the number of folders.
+
+    Operators write tables that their results still read, so this is called once results are read or stored:
+    at the end of a job, or between queries.
+    """
+    files = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark)).getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = sum(files.delete(spark._jvm.org.apache.hadoop.fs.Path(path), True) for path in _written)
+    _written.clear()
+    return gone
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+    """Write ``df`` as Parquet in the shared folder and read it back. Runs the job when called.
 
     Cuts lineage like a reliable checkpoint, survives lost executors, and the reader still
     prunes columns and row groups.

@@ -19,6 +19,14 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def scratch_is_cleared(spark):
+    from tallyspan.session import clear_scratch
+
+    yield
+    clear_scratch(spark)
+
+
 @pytest.fixture(scope="session")
 def t(spark):
     from tallyspan.plans.registry import Tables
