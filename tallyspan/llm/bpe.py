@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyspan.llm.words import U64, chunks, mix, span_hashes, text_bytes
 
-REMEMBERED = 400_000  # resolved pre-tokens that a worker keeps; beyond it starts anew
+REMEMBERED = 200_000  # resolved pre-tokens that a worker keeps; beyond it starts anew
 MOST_TOKENS = 2_000_000  # a vocabulary is broadcast: larger ones are refused
 REMEMBERED_LENGTH = 64  # longer pre-tokens are resolved each time
 _STEP = U64(0x9E3779B97F4A7C15)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256).astype(U64) * U64(2) + U64(1)
@@ -25,17 +25,20 @@ SPACED = ~np.isin(_bytes, [0x20, *range(0x09, 0x0E)])
 #: True for letters, digits and all bytes of non-ASCII characters: punctuation separates words.
 ALNUM = (_bytes >= 128) | np.isin(_bytes, [*range(48, 58), *range(65, 91), *range(97, 123)])
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(2 * CHUNK_BYTES, 1 << max(n, 1).bit_length())
-    if size not in _powers:
-        _powers.clear()
-        up, down = np.full(size, _BASE, U64), np.full(size, _INVERSE, U64)
-        up[0] = down[0] = 1
-        _powers[size] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _powers[size]
+    """Powers of the base and of its inverse, at least ``n``; those for a chunk are kept, those for a longer text are not."""
+    if n <= CHUNK_BYTES and _powers:
+        return _powers[0]
+    size = max(CHUNK_BYTES, n)
+    up, down = np.full(size, _BASE, U64), np.full(size, _INVERSE, U64)
+    up[:1] = down[:1] = 1
+    table = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    if n <= CHUNK_BYTES:
+        _powers.append(table)
+    return table
 
 
 def mix(x: np.ndarray) -> np.ndarray:
