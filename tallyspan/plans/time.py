@@ -239,13 +239,13 @@ def intervals_umbrella(t):
     WITH {ORDER_INTERVALS}
     SELECT o_custkey, o_orderkey FROM i WHERE EXISTS (
       SELECT 1 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-      WHERE o.o_custkey = i.o_custkey AND l.l_shipdate < i.e AND i.s < l.l_shipdate + INTERVAL '1 day')
+      WHERE o.o_custkey = i.o_custkey AND l.l_shipdate < i.e AND i.s < l.l_shipdate + INTERVAL '60 days')
     """,
 )
 def intervals_overlap(t):
     shipped = t.lineitem.select("l_orderkey", "l_shipdate").join(
         t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
-    ).select("o_custkey", F.col("l_shipdate").alias("start"), F.expr("l_shipdate + interval 1 day").alias("end"))
+    ).select("o_custkey", F.col("l_shipdate").alias("start"), F.expr("l_shipdate + interval 60 days").alias("end"))
     return iv.overlapping(_order_intervals(t), shipped, ["o_custkey"]).select("o_custkey", "o_orderkey")
 
 

@@ -342,17 +342,17 @@ def _as_sent(name, kind):
 
 @query(
     "jdbc_dated_export",
-    "SELECT o_orderkey, o_totalprice, o_orderdate::DATE AS day FROM orders WHERE o_orderdate::DATE IN (DATE '1997-03-03', DATE '1997-03-04')",
+    "SELECT o_orderkey, o_totalprice, o_orderdate::DATE AS day FROM orders WHERE o_orderdate::DATE IN (DATE '1995-02-03', DATE '1995-02-04')",
 )
 def jdbc_dated_export(t):
     # delete-then-append of one date is, in the lake, the replacement of that date's partition
     sql = "SELECT o_orderkey, o_totalprice, to_date(o_orderdate) AS day FROM {orders} WHERE o_orderdate >= cast(:date AS timestamp) AND o_orderdate < cast(:date AS timestamp) + interval 1 day"
     path = scratch_path(t.spark, "dated")
-    for day in ("1997-03-03", "1997-03-04", "1997-03-05", "1997-03-03"):
+    for day in ("1995-02-03", "1995-02-04", "1995-02-05", "1995-02-03"):
         tr.replace_partitions(jdbc.dated_rows(t.spark, sql, day, orders=t.orders), path, ["day"], [(day,)])
     # the last day again, from a source that has no rows of it any more
     gone = t.orders.where("false")
-    tr.replace_partitions(jdbc.dated_rows(t.spark, sql, "1997-03-05", orders=gone), path, ["day"], [("1997-03-05",)])
+    tr.replace_partitions(jdbc.dated_rows(t.spark, sql, "1995-02-05", orders=gone), path, ["day"], [("1995-02-05",)])
     return t.spark.read.schema("o_orderkey long, o_totalprice double, day date").parquet(path)
 
 

@@ -11,11 +11,7 @@ from conftest import SF_DIR
 @pytest.mark.parametrize("key", list(QUERIES))
 def test_query_equals_sql(spark, sql, key):
     _, notes = oracle.differences(spark, sql, SF_DIR, key)
-    assert not notes or (key in MAY_BE_EMPTY and notes == ["empty result"]), notes
-
-
-# no rows match these on the smallest tables
-MAY_BE_EMPTY = {"intervals_overlap", "jdbc_dated_export", "filter_predicate", "catalog_used_for_date"}
+    assert not notes, notes
 
 
 def test_every_query_has_sql():
