@@ -48,7 +48,7 @@ def within_any(ts: Column, intervals: Sequence[tuple]) -> Column:
 
 
 def condense(df: DataFrame, group: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Merge overlapping or touching intervals per group, for groups of any size.
+    """Merge overlapping or touching intervals per group, for groups of any size. Writes the intervals when called.
 
     Rows are range partitioned by (group, start) into slices. Inside a slice a window finds the
     islands, given how far the earlier slices reach. Only the first and last island of a slice can

@@ -37,7 +37,7 @@ def _column(key: str | Column) -> Column:
 def place(df: DataFrame, group: list[str], order: list) -> DataFrame:
     """Range-partition by (group, order) and fix each row's slice and spot in it.
 
-    Written once, because slice numbers must not change between the two uses of the result.
+    Written once, when called, because slice numbers must not change between the two uses of the result.
     Computed sort keys become columns first: a sort would evaluate an expression at each comparison.
     """
     columns = df.columns
@@ -64,7 +64,7 @@ def slices_before(group: list[str]):
 
 
 def with_position(df: DataFrame, group: list[str], order: list, name: str = "position") -> DataFrame:
-    """0-based position of every row inside its group."""
+    """0-based position of every row inside its group. Writes the rows when called (see ``place``)."""
     placed = place(df, group, order)
     starts = slice_totals(placed, group, _n=F.count(F.lit(1)), _first=F.min(SPOT)).select(
         *group, SLICE, "_first", F.coalesce(F.sum("_n").over(slices_before(group)), F.lit(0)).alias("_skip")
@@ -93,7 +93,7 @@ def with_running(
     how: str = "sum",
     inclusive: bool = True,
 ) -> DataFrame:
-    """Running ``sum`` or ``max`` of ``value`` inside each group, up to (or before) the row."""
+    """Running ``sum`` or ``max`` of ``value`` inside each group, up to (or before) the row. Writes the rows when called."""
     fold = {"sum": F.sum, "max": F.max}[how]
     join2 = {
         "sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)),

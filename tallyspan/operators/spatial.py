@@ -11,7 +11,7 @@ def join_boxes(points: DataFrame, x: str, y: str, boxes: DataFrame) -> DataFrame
     ``boxes`` has ``min_x, max_x, min_y, max_y``. Each box gets a grid as coarse as its longer side
     (a power of two), of which it covers at most four cells; each point looks up its one cell per
     grid size in use. So small and huge boxes meet points by an equality join, and every pair is
-    found once.
+    found once. Reads the exponents of the box sizes (a few dozen at most) when called.
     """
     side = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")).cast("double")
     level = F.when(side > 0, F.ceil(F.log2(F.when(side > 0, side)))).otherwise(-40).cast("int")
