@@ -1,11 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds find candidate passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: rare word pairs are seeds of candidate passages, Smith-Waterman alignment scores them.
 
-1. How many documents hold each n-gram of the test items is counted over the whole corpus.
-2. From every window of consecutive n-grams of an item the rarest one is a seed. So every unbroken copy of
-   n + window - 1 words meets a seed, and a phrase that half the corpus shares is none if a rarer one is near.
+1. How many documents hold each pair of adjacent words of the test items is counted over the whole corpus.
+2. An alignment of score s with m matches in r unbroken runs has at least r - 1 edits, so s <= m - r + 1, and
+   m - r >= s - 1 pairs of the item stand in it unbroken. An item of L words that needs a score of s therefore
+   has its L - s + 1 rarest pairs as seeds: they leave s - 2 of its L - 1 pairs, too few for any alignment, so
+   every passage that reaches the score holds a seed, wherever its edits are and whichever pairs they break.
 3. Documents are joined to items on the seeds. A Bloom filter of fixed size thins the documents' n-grams
    before the exact join, so no table of them is written.
-4. The parts of a document around its seeds are aligned with the item, word by word. The score is the best
+4. The parts of a document around its seeds that hold s - 1 pairs of the item are aligned with the item, word by word. The score is the best
    local alignment (a match 1, a mismatch or gap -1) as a share of the item's words.
 
 Words are runs of letters and digits, lower-cased. Texts that are equal are aligned once.
@@ -13,6 +15,8 @@ Words are runs of letters and digits, lower-cased. Texts that are equal are alig
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -21,6 +25,7 @@ from tallyspan.llm import bloom
 from tallyspan.llm.words import ALNUM, U64, chunks, grams, mix, span_hashes, text_bytes, word_hashes
 from tallyspan.session import materialise
 
+RUN = 2  # words of a seed; the bound above is one of pairs
 
 def _text_keys(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A 63-bit key of each row's text."""
@@ -43,10 +48,14 @@ def _grams_by_row(column: pa.Array, n: int):
 
 
 def _items(n: int):
+    """(item, its text, pair, place) of items of at least ``n`` words."""
+
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, keys, found, place, row in _grams_by_row(batch.column(1), n):
+            for first, keys, found, place, row in _grams_by_row(batch.column(1), RUN):
+                long = np.bincount(row, minlength=len(keys))[row] >= n - RUN + 1
+                found, place, row = found[long], place[long], row[long]
                 yield pa.RecordBatch.from_pydict(
                     {"item_id": pa.array(ids[first + row]), "item": pa.array(keys[row]), "h": pa.array(found.view(np.int64)), "place": pa.array(place)}
                 )
@@ -54,13 +63,13 @@ def _items(n: int):
     return run
 
 
-def _held(n: int, bits):
+def _held(bits):
     """(gram, documents): of this task, for grams that the filter may hold."""
 
     def run(batches):
         counts: dict[int, int] = {}
         for batch in batches:
-            for _, _, found, _, row in _grams_by_row(batch.column(0), n):
+            for _, _, found, _, row in _grams_by_row(batch.column(0), RUN):
                 hit = bloom.may_hold(bits.value, found)
                 pairs = np.unique(np.rec.fromarrays([found[hit], row[hit]])) if hit.any() else ()
                 if len(pairs):
@@ -74,12 +83,12 @@ def _held(n: int, bits):
     return run
 
 
-def _hits(n: int, bits):
+def _hits(bits):
     """(text, gram, place) for grams that may be seeds."""
 
     def run(batches):
         for batch in batches:
-            for _, keys, found, place, row in _grams_by_row(batch.column(0), n):
+            for _, keys, found, place, row in _grams_by_row(batch.column(0), RUN):
                 hit = bloom.may_hold(bits.value, found)
                 if hit.any():
                     yield pa.RecordBatch.from_pydict(
@@ -158,8 +167,10 @@ def _scored(least: float):
             out = []
             for k, starts in enumerate(batch.column("starts").to_pylist()):
                 words, item = _words(texts, k), _words(items, k)
+                pairs, need = grams(item, RUN), math.ceil(least * len(item)) - 1
+                near = [(a, b) for a, b in regions(starts, len(item), len(words)) if np.isin(pairs, grams(words[a:b], RUN)).sum() >= need]
                 found = max(
-                    ((s, a + x, a + y) for a, b in regions(starts, len(item), len(words)) for s, x, y in [align(item, words[a:b])]),
+                    ((s, a + x, a + y) for a, b in near for s, x, y in [align(item, words[a:b])]),
                     key=lambda r: (r[0], -r[1]), default=(0, 0, 0),
                 )
                 if found[0] >= least * len(item) and found[0] > 0:
@@ -172,11 +183,12 @@ def _scored(least: float):
     return run
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 4, window: int = 4, least: float = 0.5) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 4, least: float = 0.5) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word, text_key): documents and the items they leak.
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns are ignored. Items with fewer
-    than ``n`` words have no n-gram and match nothing, as do null and empty texts. Rows or items that repeat each
+    than ``n`` words match nothing, as do null and empty texts. All pairs whose best alignment has ``least`` of the
+    item's words as its score are found, provided that ``least * n`` is over 1 (a score of 1 is a single word). Rows or items that repeat each
     give their pairs; of several places in one text the best is returned, the first of equal ones.
     """
     spark = docs.sparkSession
@@ -185,22 +197,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 4, window: int = 4, le
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), lower.alias("text"))
     placed = materialise(items.mapInArrow(_items(n), "item_id long, item long, h long, place long"), "item-grams")
     all_bits = spark.sparkContext.broadcast(bloom.build(placed.select("h").distinct()))
-    held = docs.select("text").mapInArrow(_held(n, all_bits), "h long, docs long").groupBy("h").agg(F.sum("docs").alias("docs"))
+    held = docs.select("text").mapInArrow(_held(all_bits), "h long, docs long").groupBy("h").agg(F.sum("docs").alias("docs"))
     rare = placed.select("item", "h", "place").distinct().join(held, "h", "left").select("item", "h", "place", F.coalesce("docs", F.lit(0)).alias("docs"))
-    # a seed is the rarest of some window; near an item's ends the window is what there is of it
-    size = Window.partitionBy("item")
-    spread = rare.withColumn("grams", F.max("place").over(size) + 1).withColumn(
-        "w", F.explode(F.sequence(F.greatest(F.lit(0), F.col("place") - window + 1), F.least(F.col("place"), F.greatest(F.lit(0), F.col("grams") - window))))
-    )
+    size = F.max("place").over(Window.partitionBy("item")) + RUN
+    nth = F.row_number().over(Window.partitionBy("item").orderBy("docs", "h", "place"))
     seeds = (
-        spread.groupBy("item", "w").agg(F.min_by(F.struct("h", "place"), F.struct("docs", "h", "place")).alias("s"))
-        .select("item", F.col("s.h").alias("h"), F.col("s.place").alias("place")).distinct()
+        rare.withColumn("words", size).withColumn("nth", nth)
+        .where(F.col("nth") <= F.col("words") - F.ceil(F.lit(float(least)) * F.col("words")) + 1)
+        .select("item", "h", "place")
     )
     seeds = materialise(seeds, "seeds")
     bits = spark.sparkContext.broadcast(bloom.build(seeds.select("h").distinct()))
     candidates = (
         docs.select("text")
-        .mapInArrow(_hits(n, bits), "text_key long, h long, at long")
+        .mapInArrow(_hits(bits), "text_key long, h long, at long")
         .distinct()
         .join(seeds, "h")
         .groupBy("text_key", "item")

@@ -356,6 +356,29 @@ def test_leaks_find_copies_and_edits_and_nothing_else(spark):
     assert decontaminate.leaks(docs_of(spark, []), tests).count() == decontaminate.leaks(docs_of(spark, texts), tests.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("beside", [False, True])
+def test_leaks_of_dense_edits_equal_full_alignment(spark, beside):
+    """An edit every 2nd to 6th word, exact copies beside them or not; broken pairs that others hold or nobody does."""
+    rng = np.random.default_rng(4)
+    vocabulary = [f"w{k}" for k in range(300)]
+    items = [rng.choice(vocabulary, size).tolist() for size in (4, 9, 20, 31)]
+    texts = []
+    for item in items:
+        fill = lambda: rng.choice(vocabulary, 25).tolist()
+        for every in (2, 3, 4, 5, 6):
+            hit = lambda k, e=every: k % e == e - 1
+            texts.append(fill() + ["new" if hit(k) else x for k, x in enumerate(item)] + fill())
+            texts.append(fill() + [x for k, x in enumerate(item) if not hit(k)] + fill())
+            texts.append(fill() + [y for k, x in enumerate(item) for y in ([x, "new"] if hit(k) else [x])] + fill())
+        if beside:
+            texts += [fill() + item + fill()] * 2
+    tests = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(docs_of(spark, [" ".join(x) for x in texts]), tests).collect()}
+    full = {(d, i): plain_align(x, t) / len(x) for d, t in enumerate(texts) for i, x in enumerate(items)}
+    assert got == pytest.approx({k: v for k, v in full.items() if v >= 0.5})
+    assert len(got) > 30
+
+
 def test_leak_query_equals_plain_search(spark):
     got = {(r.doc_id, r.item_id) for r in QUERIES["op2_decontaminate"](spark, SF).collect()}
     w = lambda t: re.findall(r"\w+", t.lower())
