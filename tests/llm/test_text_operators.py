@@ -457,3 +457,20 @@ def test_quality_odd_input(spark):
     out = quality.keep_good(docs, model)
     assert out.schema == docs.schema and {r.doc_id for r in out.collect()} >= {0, 1, 6, 7}
     assert quality.score(docs.limit(0), model).count() == 0
+
+
+def test_every_language_has_limits_of_its_own(spark):
+    """Eighteen languages with models, and a nineteenth in letters of its own with too few trusted documents for one."""
+    rng = np.random.default_rng(5)
+    text = lambda letters: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(120))
+    rows_ = [(100 * k + i, text("abcde"), f"l{k}") for k in range(17) for i in range(24)]
+    rows_ += [(9000 + i, text("uvwxy"), "rare") for i in range(22)] + [(9500 + i, text("mnopq"), "small") for i in range(12)]
+    rows_ += [(9900, text("abcde"), "rare")]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    trusted = [(d, 1, 0) for d, _, _ in rows_ if d < 9503]
+    model = quality.train(docs, spark.createDataFrame(trusted, "doc_id long, quality int, toxic int"))
+    assert set(model.languages) == {*(f"l{k}" for k in range(17)), "rare", "*"} and {"small", "rare"} <= set(model.limit)
+    got = quality.score(docs, model).collect()
+    assert sorted(r.doc_id for r in got) == sorted(d for d, _, _ in rows_)
+    assert {r.doc_id for r in got if not r.keep} == {9900}
+    assert sorted(r.doc_id for r in quality.keep_good(docs, model).collect()) == sorted(d for d, _, _ in rows_ if d != 9900)
