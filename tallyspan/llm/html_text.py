@@ -46,6 +46,7 @@ NOT_TEXT = frozenset(
     " object script select style svg template textarea title video xmp".split()
 )
 CONTAINERS = frozenset("aside center dir div dl fieldset figure footer form header menu nav ol section table ul".split())
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 NO_ARTICLE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 NO_ARTICLE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertisements adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie"
@@ -72,6 +73,7 @@ class Node:
     key: int = 0  # hash of the subtree
     full: bool = False  # it holds text
     whole: bool = False  # an article or main element stands in it
+    main: bool = False  # a main element stands in it
 
 
 def host_of(url: str | None) -> str:
@@ -172,6 +174,7 @@ def mark(root: Node) -> list[Node]:
             else:
                 node.full |= c.full
                 node.whole |= c.whole or c.tag in ("article", "main")
+                node.main |= c.main or c.tag == "main"
                 parts.append(f"<{c.key:x}")
         node.key = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass")) >> 1
     return nodes
@@ -181,8 +184,11 @@ def is_template_shaped(node: Node) -> bool:
     return node.tag in CONTAINERS and node.full and not node.whole
 
 
-def no_article(node: Node) -> bool:
-    """By its element, role, class or id the node holds no article text."""
+def no_article(node: Node, names: bool = True, inside: bool = False) -> bool:
+    """By its element, role, class or id the node holds no article text; without ``names`` class and id don't count.
+
+    ``inside`` an article, ids of headings and sections are made from their titles and tell nothing.
+    """
     if node.tag in NOT_TEXT:
         return True
     if node.attributes and node.tag not in ("html", "body", "main"):
@@ -193,21 +199,27 @@ def no_article(node: Node) -> bool:
             if name == "role":
                 if value.lower() in NO_ARTICLE_ROLES:
                     return True
+            elif not names or (name == "id" and node.tag in TITLED and inside):
+                continue
             elif any(w in NO_ARTICLE_NAMES or w.startswith(NO_ARTICLE_STARTS) for w in (x.lower() for x in _NAME.findall(value))):
                 return True
     return False
 
 
 def article_roots(root: Node) -> list[Node]:
-    """The outermost article elements, else main elements, else the whole page."""
-    for tags in (("article",), ("main",)):
+    """The outermost article elements, else main elements, else articles in what its name says is none, else the page.
+
+    Layout wrappers are named after what is beside the article ("has-sidebar"), so a name never hides a main
+    element, nor the only articles of a page.
+    """
+    for tag, names in (("article", True), ("main", True), ("article", False)):
         found, stack = [], [root]
         while stack:
             node = stack.pop()
-            if node.tag in tags and node.full:
+            if node.tag == tag and node.full:
                 found.append(node)
                 continue
-            stack.extend(c for c in reversed(node.children) if not isinstance(c, str) and not no_article(c))
+            stack.extend(c for c in reversed(node.children) if not isinstance(c, str) and not no_article(c, not c.main if names else not c.whole))
         if found:
             return found
     return [root]
@@ -224,6 +236,8 @@ def blocks(root: Node) -> list[tuple[str, tuple[int, ...]]]:
             out.append((line, within))
 
     for top in article_roots(root):
+        # in an article, articles under such a name are comments or other articles; elsewhere they may be the text
+        article, inside = top.tag == "article", top.tag in ("article", "main")
         stack = [(top, (), False)]
         while stack:
             node, within, leaving = stack.pop()
@@ -233,7 +247,7 @@ def blocks(root: Node) -> list[tuple[str, tuple[int, ...]]]:
                 flush(within)
             elif node.tag == "br":
                 words.append(" ")
-            elif not no_article(node) or node is top:
+            elif not no_article(node, article or not node.whole, inside) or node is top:
                 block = node.tag in BLOCK or node is top
                 if block:
                     flush(within)

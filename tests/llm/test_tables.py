@@ -119,6 +119,21 @@ def test_article_text(page, want):
     assert text_of(page) == want
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<div class='content-sidebar-wrap'><main><p>a</p></main><div class='sidebar'>no</div></div>", "a"),
+        ("<div class='has-sidebar'><article><p>a</p></article><div class='sidebar'>no</div></div>", "a"),
+        ("<main><h1>t</h1><div class='has-sidebar'><article><p>a</p></article></div></main>", "t\na"),
+        ("<div class='with-nav'><main><article><p>a</p></article></main></div><div class='related'><article>no</article></div>", "a"),
+        ("<article><h2 id='related-work'>r</h2><section id='social-effects'><p>s</p></section><section class='comments'>no</section></article>", "r\ns"),
+        ("<main><p>a</p><h2 id='notice'>n</h2><div id='share'>no</div></main>", "a\nn"),
+    ],
+)
+def test_names_of_wrappers_and_titles_hide_no_article(page, want):
+    assert text_of(page) == want
+
+
 def page_table(spark, rows):
     return spark.createDataFrame([(i, u, h, "x", 1) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string, host string, row int")
 
