@@ -308,21 +308,16 @@ def _texts(boxed: bool):
     return run
 
 
-def templates(pages: DataFrame, min_pages: int = 8, min_share: float = 0.05) -> DataFrame:
-    """(host, subtree, bodies): subtrees on at least so many different pages, and such a share, of their host."""
+def templates(pages: DataFrame, min_pages: int = 8) -> DataFrame:
+    """(host, subtree, bodies): subtrees on at least so many different pages of their host, however large it is.
+
+    A template of one section of the host is one of the host, as its pages count there too.
+    """
     seen = pages.select("page_id", "url", "html").mapInArrow(_subtrees, "host string, subtree long, body long").distinct()
-    of_host = seen.select("host", "body").distinct().groupBy("host").agg(F.count("*").alias("all_bodies"))
-    return (
-        seen.groupBy("host", "subtree")
-        .agg(F.count("*").alias("bodies"))
-        .where(F.col("bodies") >= min_pages)
-        .join(of_host, "host")
-        .where(F.col("bodies") >= min_share * F.col("all_bodies"))
-        .select("host", "subtree", "bodies")
-    )
+    return seen.groupBy("host", "subtree").agg(F.count("*").alias("bodies")).where(F.col("bodies") >= min_pages)
 
 
-def extract(pages: DataFrame, min_pages: int = 8, min_share: float = 0.05) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = 8) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages`` (page_id, url, html; others are left out).
 
     Blocks are joined by one newline; white space inside a block is one space. A null or empty page, or one
@@ -338,7 +333,7 @@ def extract(pages: DataFrame, min_pages: int = 8, min_share: float = 0.05) -> Da
         "boxed",
     )
     inside = boxed.select("row", "host", F.explode(F.array_distinct(F.flatten("within"))).alias("subtree"))
-    gone = inside.join(templates(pages, min_pages, min_share), ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("gone"))
+    gone = inside.join(templates(pages, min_pages), ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("gone"))
     kept = boxed.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))
     lines = F.filter(F.arrays_zip("lines", "within"), lambda b: ~F.arrays_overlap(b["within"], F.col("gone")))
     kept = kept.select("page_id", "url", F.array_join(F.transform(lines, lambda b: b["lines"]), "\n").alias("text"))

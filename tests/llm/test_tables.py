@@ -152,6 +152,15 @@ def test_templates_of_a_host_go(spark):
     assert got[40].text.endswith("stories") and len(got) == len(rows)
 
 
+def test_templates_of_one_section_go_at_every_host_size(spark):
+    """A box on ten pages of a section goes, whether the host has ten pages or four hundred."""
+    box = "<div><span>More from this section</span></div>"
+    rows = [(f"http://{h}/s/{k}", f"<article><p>story {k}</p>{box}</article>") for h in ("small", "large") for k in range(10)]
+    rows += [(f"http://large/t/{k}", f"<article><p>other {k}</p></article>") for k in range(390)]
+    got = {r.page_id: r.text for r in html_text.extract(page_table(spark, rows)).collect()}
+    assert [got[k] for k in range(20)] == [f"story {k}" for k in range(10)] * 2 and len(got) == len(rows)
+
+
 def test_pages_odd_input(spark):
     df = page_table(spark, [("http://a/", None), ("", ""), ("nonsense", "<p>x"), ("http://a/", "<p>x"), ("http://a/", "<p>x"), ("http://a/", "<p>" + "y " * 200_000)])
     got = sorted((r.page_id, r.text[:3], r.n_chars) for r in html_text.extract(df).collect())
