@@ -3,8 +3,9 @@
 Base patterns find e-mail addresses, IP addresses, card numbers and phone numbers. They are the seeds: the
 words around them give lexical patterns (the two words before, and the word on either side). Patterns and the
 identifier-like values that stand in them form a graph, which is scored in rounds: a pattern is as trustworthy
-for a kind as the share of its different values that are known to be of that kind, a value is as likely of a
-kind as its patterns together make it. Values that reach the threshold count as known in the next round.
+for a kind as the share of that kind in its different values that are known to be of a kind or plainly no
+identifier, a value is as likely of a kind as its patterns together make it. Values that reach the threshold count
+as known in the next round, and the rounds go on until one adds nothing.
 In the end, identifier-like text in a trusted pattern is added as a span; base spans always stay.
 
 Positions are code points. A match's place is the sum of the lengths of the pieces before it.
@@ -28,6 +29,13 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: A run of non-space characters with a digit or an at sign.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Digit groups joined by blanks, dots, brackets or hyphens.
+GROUPS = r"(?<![\p{L}\p{N}@])\(?\+?[0-9]++(?:[\x20().-]{1,3}+[0-9]++)++(?![\p{L}\p{N}@])"
+#: Of an identifier-like value: a time, a date, an amount, or fewer than six digits in fewer than four fields.
+PLAIN = (
+    r"\A(?:[0-9]{4}[-./][0-9]{1,2}[-./][0-9]{1,2}|[0-9]{1,2}[-./][0-9]{1,2}[-./][0-9]{4}|[0-9]{1,2}(?::[0-9]{2}){1,2}"
+    r"|[0-9]+[.,][0-9]{1,2}|[0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]+)?|(?:[^0-9@]*[0-9]){4,5}[^0-9@]*)\z"
+)
 CONTEXT = 80
 
 SPAN = "struct<start:int,kind:int,end:int,text:string,before:string,after:string>"
@@ -107,12 +115,19 @@ def base_spans(text: Column) -> list[Column]:
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """Identifier-like spans (kind -1): at least four digits or an at sign, clear of all base spans."""
-    tokens = find(text, TOKEN, -1, _has_digit(text) | F.contains(text, F.lit("@")))
+    """Identifier-like spans (kind -1): at least four digits or an at sign, clear of all base spans.
+
+    Runs without blanks and digit groups with blanks; of the two that overlap, the context decides.
+    """
+    tokens = F.concat(
+        find(text, TOKEN, -1, _has_digit(text) | F.contains(text, F.lit("@"))),
+        F.filter(find(text, GROUPS, -1, _has_digit(text)), lambda s: F.contains(s["text"], F.lit(" "))),
+    )
+    opened = r"\A(?:(?!\([0-9]+\))[^\p{L}\p{N}+])*+"
 
     def trimmed(s: Column) -> Column:
-        lead = F.length(F.regexp_extract(s["text"], r"\A[^\p{L}\p{N}+]*", 0))
-        core = F.regexp_replace(s["text"], r"\A[^\p{L}\p{N}+]*+|[^\p{L}\p{N}]++\z", "")
+        lead = F.length(F.regexp_extract(s["text"], opened, 0))
+        core = F.regexp_replace(s["text"], opened + r"|[^\p{L}\p{N}]++\z", "")
         return F.struct(
             (s["start"] + lead).alias("start"), s["kind"].alias("kind"), (s["start"] + lead + F.length(core)).alias("end"),
             core.alias("text"), s["before"].alias("before"), s["after"].alias("after"),
@@ -150,54 +165,74 @@ def described(docs: DataFrame) -> DataFrame:
     return materialise(found.withColumn("row", F.monotonically_increasing_id()), "spans")
 
 
-def discover(spans: DataFrame, rounds: int = 3, support: int = 4, trust: float = 0.8, accept: float = 0.9) -> DataFrame:
+def _plain(value: Column) -> Column:
+    """It is no identifier of any kind, wherever it stands. An address of four fields may have few digits."""
+    return value.rlike(PLAIN) & ~value.rlike(r"\A[0-9]+(?:[.:][0-9]+){3,}\z")
+
+
+def discover(spans: DataFrame, support: int = 4, trust: float = 0.8, accept: float = 0.9) -> DataFrame:
     """(row, k1, k2, start, kind, end): candidates that trusted patterns show to be of a kind.
 
     A pattern is trusted for a kind if at least ``support`` different known values stand in it and they make
-    up ``trust`` of its different values (one is added to the count, so small patterns stay below).
+    up ``trust`` of its different values that are known or plainly no identifier; unseen ones tell nothing. A
+    value keeps the kind it is first given. Rounds go on until none is added, so each but the last adds one.
     """
     places = spans.select("row", "k1", "k2", F.explode(F.concat("base", "other")).alias("s")).select(
         "row", "k1", "k2", "s.start", "s.end", "s.kind", _value(F.col("s.kind"), F.col("s.text")).alias("value"),
         F.explode(_patterns(F.col("s.before"), F.col("s.after"))).alias("pattern"),
     )
-    places = materialise(places, "places")
-    edges = places.select("pattern", "kind", "value").distinct()
-    # a pattern without enough values can never be trusted
-    wide = edges.groupBy("pattern").agg(F.count_distinct("value").alias("values")).where(F.col("values") >= support)
-    edges = materialise(edges.join(wide, "pattern"), "edges")
+    places = materialise(places.withColumn("plain", (F.col("kind") < 0) & _plain(F.col("value"))), "places")
+    edges = places.select("pattern", "kind", "value", "plain").distinct()
+    # a pattern without enough base or candidate values can never be trusted
+    wide = edges.groupBy("pattern").agg(F.count_distinct("value").alias("values"), F.count_if("plain").alias("plains")).where(F.col("values") >= support)
+    edges = materialise(edges.where("not plain").drop("plain").join(wide, "pattern"), "edges")
+    unseen = edges.where("kind < 0").select("pattern", "value")
     known = edges.where("kind >= 0").select("value", F.col("kind").alias("of"), F.lit(1.0).alias("score")).distinct()
     trusted = None
-    for _ in range(rounds):
-        trusted = (
-            edges.join(known, "value")
-            .groupBy("pattern", "of", "values")
+    while True:
+        seen = edges.select("pattern", "value", "plains").distinct().join(known, "value")
+        judged = seen.groupBy("pattern").agg((F.count_distinct("value") + F.first("plains")).alias("judged"))
+        sure = (
+            seen.groupBy("pattern", "of")
             .agg(F.sum("score").alias("good"), F.count("*").alias("n"))
-            .where((F.col("n") >= support) & (F.col("good") >= trust * (F.col("values") + 1)))
-            .select("pattern", "of", F.least(F.lit(0.999), F.col("good") / (F.col("values") + 1)).alias("trust"))
+            .where(F.col("n") >= support)
+            .join(judged, "pattern")
+            .where(F.col("good") >= trust * F.col("judged"))
+            .select("pattern", "of", F.least(F.lit(0.999), F.col("good") / F.col("judged")).alias("trust"))
         )
+        sure = materialise(sure, "trusted")
         scored = (
-            edges.where("kind < 0")
-            .join(trusted, "pattern")
+            unseen.join(sure, "pattern")
             .groupBy("value", "of")
             .agg((1 - F.exp(F.sum(F.log1p(-F.col("trust"))))).alias("score"))
             .where(F.col("score") >= accept)
+            .groupBy("value")
+            .agg(F.min_by(F.struct("of", "score"), F.struct(-F.col("score"), F.col("of"))).alias("s"))
+            .select("value", "s.of", "s.score")
+            .join(known.select("value").distinct(), "value", "left_anti")
         )
-        seeds = edges.where("kind >= 0").select("value", F.col("kind").alias("of"), F.lit(1.0).alias("score")).distinct()
-        known = materialise(seeds.union(scored).groupBy("value", "of").agg(F.max("score").alias("score")), "known")
-    best = (
-        known.join(edges.where("kind < 0").select("value").distinct(), "value")
-        .groupBy("value")
-        .agg(F.min_by("of", F.struct(-F.col("score"), F.col("of"))).alias("of"))
-    )
+        added = materialise(scored, "added")
+        pairs = sure.select("pattern", "of")
+        trusted = pairs if trusted is None else trusted.union(pairs).distinct()
+        if added.isEmpty():
+            break
+        known = materialise(known.union(added), "known")
+        trusted = materialise(trusted, "all-trusted")
     return (
-        places.where("kind < 0")
+        places.where("kind < 0 and not plain")
         .join(trusted, "pattern")
-        .join(best, ["value", "of"])
+        .join(known.select("value", "of").distinct(), ["value", "of"])
         .select("row", "k1", "k2", "start", F.col("of").alias("kind"), "end")
         .distinct()
     )
 
 
+def widest(spans: Column) -> Column:
+    """Spans that are no part of another: digit groups rather than one of the groups."""
+    part = lambda s, o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])
+    return F.filter(spans, lambda s: ~F.exists(spans, lambda o: part(s, o)))
+
+
 def written(spans: Column) -> Column:
     """``kind:start:end`` by start, then kind, joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -213,7 +248,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     empty one: no spans, an empty string. Rows that repeat each give a row; other columns are left out.
     """
     base = described(docs)
-    added = discover(base).groupBy("row").agg(F.collect_set(F.struct("start", "kind", "end")).alias("added"))
+    added = discover(base).groupBy("row").agg(widest(F.collect_set(F.struct("start", "kind", "end"))).alias("added"))
     short = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     joined = base.join(added, "row", "left").withColumn("added", F.coalesce("added", F.array().cast("array<struct<start:int,kind:int,end:int>>")))
     return joined.select(
@@ -232,7 +267,7 @@ def mask(docs: DataFrame) -> DataFrame:
     base = described(docs)
     key = [F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_k1"), F.xxhash64(F.lit(1), F.coalesce(F.col("text"), F.lit(""))).alias("_k2")]
     short = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    added = discover(base).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "kind", "end")).alias("_added"))
+    added = discover(base).groupBy("k1", "k2").agg(widest(F.collect_set(F.struct("start", "kind", "end"))).alias("_added"))
     found = base.where(F.size("base") > 0).groupBy("k1", "k2").agg(F.first(short).alias("_base"))
     spans = found.join(added, ["k1", "k2"], "full").select(
         F.col("k1").alias("_k1"), F.col("k2").alias("_k2"),

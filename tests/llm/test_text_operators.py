@@ -291,6 +291,24 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert masked[8] == "order 77: please charge card <CARD> today" and masked[9] == texts[9]
 
 
+def test_few_known_values_discover_many_in_long_chains(spark):
+    """Four known phones discover thirty unseen ones, in groups too; chains go on past three rounds; dates and other kinds are evidence against."""
+    texts = [f"x{k} please ring +1 555 010 20{k:02} today" for k in range(4)]
+    texts += [f"y{k} please ring (017) 555-77{k:02} today" for k in range(30)]
+    names = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    chain = [(a, f"(0{n}{k}) 555-88{n}{k}") for n, a in enumerate(names) for k in range(4)]
+    texts += [f"please ring {v} today" for a, v in chain if a == "alpha"]
+    for n, a in enumerate(names):
+        texts += [f"{a} {a} {v} {a}" for x, v in chain if x == a or (n and x == names[n - 1])]
+    dated = [f"z{k} seen around +1 555 030 40{k:02} here" for k in range(4)] + [f"z{k} seen around 2024-05-1{k} here" for k in range(4)]
+    dated += ["z9 seen around 555 123 4567 here"]
+    got = [r.spans for r in pii.personal_data(docs_of(spark, [*texts, *dated])).orderBy("doc_id").collect()]
+    for t, spans in zip(texts, got):
+        number = re.search(r"[+(][0-9() -]+[0-9]", t)
+        assert spans == f"phone:{number.start()}:{number.end()}", t
+    assert got[len(texts) + 4 :] == [""] * 5
+
+
 def test_mask_keeps_rows_and_columns(spark):
     df = docs_of(spark, [*PRIVATE, "x a@b.co y 1.2.3.4.", "x a@b.co y 1.2.3.4."])
     out = pii.mask(df)
