@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyspan.llm import bpe, decontaminate, jaccard_join, pii, quality
 from tallyspan.llm.registry import reachable
-from tallyspan.llm.rows import without
 from tallyspan.session import scratch_path
 from tallyspan.tables import SCHEMAS, table
 
@@ -32,8 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text holds no benchmark item."""
     reachable(spark)
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, "doc_id", found.select("doc_id"))
+    return decontaminate.without_leaks(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,8 +20,10 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyspan.llm import bloom
+from tallyspan.llm.rows import without
 from tallyspan.llm.words import ALNUM, U64, chunks, grams, mix, span_hashes, text_bytes, word_hashes
 from tallyspan.session import materialise
 
@@ -183,6 +185,29 @@ def _scored(least: float):
     return run
 
 
+def _lower():
+    return F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def without_leaks(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text is not in ``found``, as ``leaks`` returns it, whatever their doc_id.
+
+    A text is known by its 63-bit key, as in ``leaks``. Runs a job over the keys when called.
+    """
+
+    names = [*docs.columns, "_text_key"]
+
+    def keyed(batches):
+        for batch in batches:
+            data, bounds = text_bytes(batch.column(batch.num_columns - 1))
+            keys = [_text_keys(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]) for a, b in chunks(bounds)]
+            own = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], own], names)
+
+    kinds = StructType([*docs.schema.fields, StructField("_text_key", LongType())])
+    return without(docs.select("*", _lower().alias("_lower")).mapInArrow(keyed, kinds), "_text_key", found.select("text_key")).select(docs.columns)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 4, least: float = 0.5) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word, text_key): documents and the items they leak.
 
@@ -192,7 +217,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 4, least: float = 0.5)
     give their pairs; of several places in one text the best is returned, the first of equal ones.
     """
     spark = docs.sparkSession
-    lower = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    lower = _lower()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lower.alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), lower.alias("text"))
     placed = materialise(items.mapInArrow(_items(n), "item_id long, item long, h long, place long"), "item-grams")

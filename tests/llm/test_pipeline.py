@@ -56,6 +56,15 @@ def test_leaking_documents_go(spark, stages):
     assert {r.doc_id for r in after} == {r.doc_id for r in before} - leaking
 
 
+def test_leaking_texts_go_whatever_their_ids(spark):
+    """A null doc_id hides no leak, and a clean document that shares a leaking one's doc_id stays."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(None, f"so {item} it is", "en", "s", 1), (7, item, "en", "s", 1), (7, "a clean text of its own", "en", "s", 1), (None, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = cp.benchmark_decontamination(spark, docs, SF)
+    assert got.schema == docs.schema and {(r.doc_id, r.text) for r in got.collect()} == {(7, "a clean text of its own"), (None, None)}
+
+
 def test_personal_data_is_masked(stages):
     before, after = stages[3]
     texts = {r.doc_id: r for r in after}
