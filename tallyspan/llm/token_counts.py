@@ -24,8 +24,8 @@ RULES = ("first", "last", "largest", "share")
 
 
 def lines(text: Column) -> Column:
-    """Section lengths of the lines of a text, each with its line break."""
-    return F.transform(F.split(text, "\n", -1), lambda x: F.length(x) + 1)
+    """Section lengths of the lines of a text, each with its line break; a null text is an empty one, of one line."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.length(x) + 1)
 
 
 def joined_fields(fields: list[str], separator: str = "\n") -> tuple[Column, Column]:

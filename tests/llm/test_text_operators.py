@@ -222,6 +222,12 @@ def test_sections_share_all_tokens(spark, vocabulary, library, rule):
         assert sum(c for c, _ in got[i].values()) == len(t or "")
 
 
+def test_null_text_has_a_row_as_an_empty_one(spark, vocabulary):
+    docs = docs_of(spark, [None, "", "a\nb"])
+    got = sorted(tuple(r) for r in token_counts.count_tokens(docs, vocabulary, token_counts.lines(F.col("text"))).collect())
+    assert got[:2] == [(0, 0, 0, 0.0), (1, 0, 0, 0.0)] and [r[:3] for r in got[2:]] == [(2, 0, 2), (2, 1, 1)]
+
+
 def test_token_query_adds_up(spark):
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
