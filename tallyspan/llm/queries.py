@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tallyspan.llm import bpe, chat, decontaminate, html_text, pii, quality, token_counts, vector_file, warc_zip
+from tallyspan.llm import bpe, chat, decontaminate, html_text, pii, quality, quality_rules, token_counts, vector_file, warc_zip
 from tallyspan.llm.jaccard_join import jaccard_groups
 from tallyspan.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (re-exported)
 from tallyspan.tables import table
@@ -133,3 +133,46 @@ CHAT_SQL = """
 @query("op7_chat", CHAT_SQL)
 def op7(spark, sf_dir):
     return chat.render(table(spark, sf_dir, "conversations"))
+
+
+def _in(words):
+    return "(" + ", ".join("'" + w + "'" for w in words) + ")"
+
+
+def _stop_words_sql():
+    own = quality_rules.STOP_WORDS
+    count = "len(list_filter(bare, lambda x: x IN {}))".format
+    cases = " ".join(f"WHEN '{name}' THEN {count(_in(words))}" for name, words in own.items())
+    return f"CASE lang {cases} ELSE {count(_in(sorted({w for words in own.values() for w in words})))} END"
+
+
+QUALITY_RULES_SQL = rf"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+    w AS (
+      SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+             string_split_regex(lower(t), '[\x20\x09-\x0D.,;:!?"''()#*$%&|<>]+') AS bare,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+      FROM d),
+    windows AS (
+      SELECT rid, i, list_aggregate(w[i : i + 4], 'string_agg', ' ') AS k FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+    again AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, k) > 1),
+    covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM (SELECT rid, i, unnest(range(0, 5)) AS k FROM again) GROUP BY rid),
+    m AS (
+      SELECT doc_id, len(w)::BIGINT AS n_words, length(list_aggregate(list_concat(w, ['']), 'string_agg', ''))::BIGINT AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+             len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\t]*[-*•]|(\.\.\.|…|\|)[\x20\t]*$')))::BIGINT AS n_marked_lines,
+             length(regexp_replace(t, '[^!]', '', 'g'))::BIGINT AS n_exclamations, ({_stop_words_sql()})::BIGINT AS n_stop_words,
+             coalesce(n, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN covered USING (rid)),
+    b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+    SELECT *, NOT base_failed AND 100 * word_chars BETWEEN 200 * n_words AND 1500 * n_words AND 100 * n_symbols <= 10 * n_words
+           AND (n_words < 20 OR (100 * n_dup_lines <= 40 * n_lines AND 100 * n_marked_lines <= 30 * n_lines))
+           AND 100 * n_exclamations <= 20 * n_words AND (n_words < 50 OR 100 * n_stop_words >= 5 * n_words) AS kept
+    FROM b
+"""
+
+
+@query("op12_quality_rules", QUALITY_RULES_SQL)
+def op12(spark, sf_dir):
+    return quality_rules.judged(table(spark, sf_dir, "documents")).drop("failed")
