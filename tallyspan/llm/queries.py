@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tallyspan.llm import bpe, chat, decontaminate, html_text, pii, quality, quality_rules, token_counts, vector_file, warc_zip
+from tallyspan.llm import bpe, chat, decontaminate, html_text, pii, quality, quality_rules, token_counts, vector_file, warc_zip, whitening
 from tallyspan.llm.jaccard_join import jaccard_groups
 from tallyspan.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (re-exported)
 from tallyspan.tables import table
@@ -176,3 +176,8 @@ QUALITY_RULES_SQL = rf"""
 @query("op12_quality_rules", QUALITY_RULES_SQL)
 def op12(spark, sf_dir):
     return quality_rules.judged(table(spark, sf_dir, "documents")).drop("failed")
+
+
+@query("op11_whitening")
+def op11(spark, sf_dir):
+    return whitening.components_of(whitening.whiten(table(spark, sf_dir, "embeddings"), components=32))
