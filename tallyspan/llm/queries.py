@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tallyspan.llm import bpe, chat, decontaminate, html_text, pii, quality, quality_rules, token_counts, vector_file, warc_zip, whitening
+from tallyspan.llm import bpe, chat, decontaminate, html_text, lexical_search, pii, quality, quality_rules, token_counts, vector_file, warc_zip, whitening
 from tallyspan.llm.jaccard_join import jaccard_groups
 from tallyspan.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (re-exported)
 from tallyspan.tables import table
@@ -181,3 +181,24 @@ def op12(spark, sf_dir):
 @query("op11_whitening")
 def op11(spark, sf_dir):
     return whitening.components_of(whitening.whiten(table(spark, sf_dir, "embeddings"), components=32))
+
+
+SEARCH_SQL = r"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+    i AS (SELECT DISTINCT item_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+    g AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+    q AS (SELECT item_id, t, count(*)::BIGINT AS q FROM (SELECT item_id, unnest(w) AS t FROM i) GROUP BY ALL),
+    p AS (SELECT rid, doc_id, n, t, count(*)::BIGINT AS tf FROM (SELECT rid, doc_id, len(w) AS n, unnest(w) AS t FROM d) SEMI JOIN q USING (t) GROUP BY ALL),
+    f AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, g GROUP BY t, n_docs),
+    c AS (SELECT rid, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS part FROM p JOIN f USING (t), g),
+    s AS (SELECT item_id, rid, doc_id, sum(q * part)::BIGINT AS score FROM q JOIN c USING (t) GROUP BY ALL HAVING sum(q * part) > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
+@query("op13_lexical_search", SEARCH_SQL)
+def op13(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
