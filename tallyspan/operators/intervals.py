@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyspan.operators.ordered import SLICE, SPOT, join_slices, place, slice_totals, slices_before, with_running
 from tallyspan.session import materialise
 
 
@@ -47,42 +46,51 @@ def within_any(ts: Column, intervals: Sequence[tuple]) -> Column:
     return reduce(lambda a, b: a | b, [within(ts, lo, hi) for lo, hi in condense_literals(intervals)], F.lit(False))
 
 
-def condense(df: DataFrame, group: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Merge overlapping or touching intervals per group, for groups of any size. Writes the intervals when called.
+def _celled(marks: DataFrame, group: list[str], cell: str) -> tuple[DataFrame, list[str]]:
+    """``marks`` (group, ``_at``, ``_end``, …) with ``_carried``, the latest end of the group's earlier time cells; and the
+    columns that part them into cells.
 
-    Rows are range partitioned by (group, start) into slices. Inside a slice a window finds the
-    islands, given how far the earlier slices reach. Only the first and last island of a slice can
-    belong together with another slice: those, two rows per slice at most, are merged in the end.
+    Rows are shuffled once, by hash, for the join and the windows after it. The carried ends come from one row per
+    (group, cell), aggregated before their shuffle: as many as the times have cells, however many rows a group has. With
+    them a window needs to see one cell only, so a group spreads over its cells. Rows without a time are left out.
     """
-    base = df.groupBy(*group, F.col(start).alias("start")).agg(F.max(end).alias("end"))
-    placed = place(base, group, ["start"])
-    carried = slice_totals(placed, group, _t=F.max("end")).select(
-        *group, SLICE, F.max("_t").over(slices_before(group)).alias("_carried")
-    )
-    inside = Window.partitionBy(*group, SLICE).orderBy(SPOT)
-    before = F.max("end").over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(F.col("start") <= F.greatest(F.col("_carried"), F.col("_before")), 0).otherwise(1)
+    rows = marks.withColumns({"_cell": F.date_trunc(cell, "_at"), "_g": F.xxhash64(*group) if group else F.lit(0)})
+    parts = ["_g", *group, "_cell"]
+    before = Window.partitionBy("_g", *group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    carried = rows.groupBy(*parts).agg(F.max("_end").alias("_most")).withColumn("_carried", F.max("_most").over(before))
+    carried = carried.select("_carried", *[F.col(x).alias(f"_r{x}") for x in parts])
+    on = (F.col("_g") == F.col("_r_g")) & (F.col("_cell") == F.col("_r_cell"))
+    for x in group:  # the hash finds the group; this tells groups of one hash apart, and is no key that asks for another shuffle
+        on &= F.coalesce(F.col(x) == F.col(f"_r{x}"), F.col(x).isNull() & F.col(f"_r{x}").isNull())
+    return rows.repartition("_g", "_cell").join(carried, on).drop(*[f"_r{x}" for x in parts]), parts
+
+
+def condense(df: DataFrame, group: list[str], start: str = "start", end: str = "end", cell: str = "day") -> DataFrame:
+    """Merge overlapping or touching intervals per group, for groups of any size.
+
+    Inside a time cell a window over (group, cell) finds the islands, given how far the earlier cells reach. Only the
+    first and last island of a cell can belong together with another cell: those, two rows per cell at most, are merged in
+    the end. ``cell`` is a unit of ``date_trunc``, coarser for sparse times.
+    """
+    rows, parts = _celled(df.select(*group, F.col(start).alias("_at"), F.col(end).alias("_end")), group, cell)
+    along = Window.partitionBy(*parts).orderBy("_at", "_end")
+    before = F.max("_end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("_at") <= F.greatest(F.col("_carried"), F.col("_before")), 0).otherwise(1)
     pieces = (
-        join_slices(placed, carried, group)
-        .withColumn("_before", before)
+        rows.withColumn("_before", before)
         .withColumn("_open", opens)
-        .withColumn("_island", F.sum("_open").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*group, SLICE, "_island")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .withColumn("_last", F.max("_island").over(Window.partitionBy(*group, SLICE)))
+        .withColumn("_island", F.sum("_open").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*parts, "_island")
+        .agg(F.min("_at").alias("start"), F.max("_end").alias("end"))
+        .withColumn("_last", F.max("_island").over(Window.partitionBy(*parts)))
     )
     edge = (F.col("_island") == 0) | (F.col("_island") == F.col("_last"))
-    whole = pieces.where(~edge).select(*group, "start", "end")
-    # an island numbered 0 was not opened in its slice: it goes on from the last one opened before
-    along = Window.partitionBy(*group).orderBy(SLICE, "_island").rowsBetween(Window.unboundedPreceding, 0)
-    edges = (
-        pieces.where(edge)
-        .withColumn("_no", F.sum((F.col("_island") > 0).cast("int")).over(along))
-        .groupBy(*group, "_no")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .drop("_no")
+    # an island numbered 0 was not opened in its cell: it goes on from the last one opened before
+    opened = F.sum((F.col("_island") > 0).cast("int")).over(
+        Window.partitionBy("_g", *group).orderBy("_cell", "_island").rowsBetween(Window.unboundedPreceding, 0)
     )
-    return whole.unionByName(edges)
+    edges = pieces.where(edge).withColumn("_no", opened).groupBy("_g", *group, "_no").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return pieces.where(~edge).select(*group, "start", "end").unionByName(edges.select(*group, "start", "end"))
 
 
 def umbrella(df: DataFrame, group: list[str], start: str = "start", end: str = "end") -> DataFrame:
@@ -100,22 +108,25 @@ def clip(df: DataFrame, lo, hi, start: str = "start", end: str = "end") -> DataF
     )
 
 
-def _meets(rows: DataFrame, at: str, inclusive: bool, intervals: DataFrame, key: list[str]) -> DataFrame:
+def _meets(rows: DataFrame, at: str, inclusive: bool, intervals: DataFrame, key: list[str], cell: str) -> DataFrame:
     """Rows with ``_reach``: the latest end among intervals of the same key that start before ``at``.
 
-    One merge of both sides in time order with a running maximum. No pairs are formed, and a hot key
-    spreads over many slices. ``inclusive`` counts an interval that starts exactly at ``at``.
+    Both sides meet in time order inside (key, cell), with a running maximum that begins with what the earlier cells
+    reach. No pairs are formed, and a hot key spreads over its cells. ``inclusive`` counts an interval that starts exactly
+    at ``at``.
     """
-    starts = intervals.groupBy(*key, F.col("start").alias("_at")).agg(F.max("end").alias("_end"))
     side = 0 if inclusive else 1
-    marks = starts.withColumns({"_side": F.lit(side), "_tie": F.lit(0).cast("long")})
-    looks = rows.withColumns({"_at": F.col(at), "_side": F.lit(1 - side), "_tie": F.xxhash64(*rows.columns)})
-    both = looks.unionByName(marks, allowMissingColumns=True)
-    reached = with_running(both, key, ["_at", "_side", "_tie"], "_reach", F.col("_end"), how="max")
-    return reached.where(F.col("_side") == 1 - side).drop("_at", "_side", "_tie", "_end")
+    looks = rows.withColumns({"_at": F.col(at), "_side": F.lit(1 - side)})
+    marks = intervals.select(*key, F.col("start").alias("_at"), F.col("end").alias("_end"), F.lit(side).alias("_side"))
+    both, parts = _celled(looks.unionByName(marks, allowMissingColumns=True), key, cell)
+    along = Window.partitionBy(*parts).orderBy("_at", "_side").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = both.withColumn("_reach", F.greatest(F.col("_carried"), F.max("_end").over(along)))
+    return reached.where(F.col("_side") == 1 - side).drop("_at", "_side", "_end", "_cell", "_carried", "_g")
 
 
-def overlapping(left: DataFrame, right: DataFrame, key: list[str], start: str = "start", end: str = "end") -> DataFrame:
+def overlapping(
+    left: DataFrame, right: DataFrame, key: list[str], start: str = "start", end: str = "end", cell: str = "day"
+) -> DataFrame:
     """Rows of ``left`` whose interval overlaps any interval of ``right`` with the same key.
 
     That is so when, of the right intervals that start before the left one ends, the latest end is
@@ -123,7 +134,7 @@ def overlapping(left: DataFrame, right: DataFrame, key: list[str], start: str =
     """
     r = right.select(*key, F.col(start).alias("start"), F.col(end).alias("end")).where(F.col("start") < F.col("end"))
     rows = left.where(F.col(start) < F.col(end))
-    return _meets(rows, end, False, r, key).where(F.col("_reach") > F.col(start)).drop("_reach")
+    return _meets(rows, end, False, r, key, cell).where(F.col("_reach") > F.col(start)).drop("_reach")
 
 
 def in_interval_table(df: DataFrame, ts: str, intervals: DataFrame, cell: str = "day") -> DataFrame:

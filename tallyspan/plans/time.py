@@ -222,7 +222,7 @@ ORDER_INTERVALS = "i AS (SELECT o_custkey, o_orderkey, o_orderdate AS s, o_order
     """,
 )
 def intervals_condense(t):
-    return iv.condense(_order_intervals(t), ["o_custkey"])
+    return iv.condense(_order_intervals(t), ["o_custkey"], cell="quarter")
 
 
 @query(
@@ -246,7 +246,7 @@ def intervals_overlap(t):
     shipped = t.lineitem.select("l_orderkey", "l_shipdate").join(
         t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
     ).select("o_custkey", F.col("l_shipdate").alias("start"), F.expr("l_shipdate + interval 60 days").alias("end"))
-    return iv.overlapping(_order_intervals(t), shipped, ["o_custkey"]).select("o_custkey", "o_orderkey")
+    return iv.overlapping(_order_intervals(t), shipped, ["o_custkey"], cell="quarter").select("o_custkey", "o_orderkey")
 
 
 @query(

@@ -177,3 +177,29 @@ def test_overlap_against_brute_force(spark, slices):
     got = iv.overlapping(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema).drop("id"), ["k"]).collect()
     want = [i for k, i, a, z in left if a < z and any(k == k2 and a < z2 and a2 < z and a2 < z2 for k2, _, a2, z2 in right)]
     assert sorted(r["id"] for r in got) == want
+
+
+def test_intervals_shuffle_once_and_write_nothing(spark, monkeypatch):
+    """One exchange of the rows, none by range, and the exchanges of one row per cell."""
+    from tallyspan.operators import intervals
+
+    monkeypatch.setattr(intervals, "materialise", None)
+    rows = spark.range(1000).select((F.col("id") % 5).alias("k"), F.timestamp_seconds(F.col("id") * 997).alias("start"), F.timestamp_seconds(F.col("id") * 1009 + 50).alias("end"))
+    for out in (iv.condense(rows, ["k"]), iv.overlapping(rows, rows, ["k"])):
+        assert out.count() > 0
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan
+
+
+def test_null_groups_and_any_cell(spark):
+    base = d("2024-01-01")
+    rows = [(k, base + timedelta(hours=7 * i), base + timedelta(hours=7 * i + 9 - 5 * (i % 3))) for i in range(200) for k in (None, "a")]
+    df = spark.createDataFrame(rows, "k string, start timestamp, end timestamp")
+    want = sorted(brute_condense([(a, z) for k, a, z in rows if k is None]))
+    for cell in ("hour", "day", "month", "year"):
+        got = {}
+        for r in iv.condense(df, ["k"], cell=cell).collect():
+            got.setdefault(r["k"], []).append((r["start"], r["end"]))
+        assert sorted(got[None]) == want and sorted(got["a"]) == want
+        assert iv.overlapping(df, df.where("k is null"), ["k"], cell=cell).count() == 200
+    assert iv.condense(df.limit(0), ["k"]).count() == 0
