@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tallyspan.functions import expr as e
 from tallyspan.functions.granularity import granularity
 from tallyspan.operators import intervals as iv
+from tallyspan.operators import paging
 from tallyspan.operators import select as s
 from tallyspan.operators.ordered import Desc, with_position
 from tallyspan.plans.registry import query
@@ -353,6 +354,54 @@ def select_paged_desc(t):
     return s.page(rows, ["segment"], "ts", "event_id", {"events_2024-01-03": -12}, 10, descending=True).drop("ts")
 
 
+def _bucket_sql(descending):
+    """Two pages of 25 rows of every (part, day), the first from a stored cursor."""
+    way, sign = (" DESC", "-1 - ") if descending else ("", "")
+    return f"""
+    SELECT part, bucket, event_id, value, ({sign}o)::BIGINT AS paging_offset, ((o - stored) // 25 + 1)::INTEGER AS page_number FROM (
+      SELECT *, row_number() OVER (PARTITION BY part, bucket ORDER BY ts{way}, event_id{way}) - 1 AS o,
+        CASE WHEN part = 1 AND bucket = TIMESTAMP '2024-01-05' THEN 3 WHEN part = 1 THEN 10 WHEN part = 2 AND bucket = TIMESTAMP '2024-01-06' THEN 1 ELSE 0 END AS stored
+      FROM (SELECT (event_id % 3)::INTEGER AS part, date_trunc('day', ts)::TIMESTAMP AS bucket, ts, event_id, value FROM events)) WHERE o >= stored AND o < stored + 50
+    """
+
+
+def _bucket_pages(t, descending):
+    rows = t.events.select((c("event_id") % 3).cast("int").alias("part"), "ts", "event_id", "value")
+    # a row without a bucket is for all buckets of its part that have no row of their own
+    stored = [(1, "2024-01-05", 2), (1, None, 9), (2, "2024-01-06", 0)]
+    stored = [(part, day, -at - 1 if descending else at) for part, day, at in stored]
+    cursor = t.spark.createDataFrame(stored, "part int, day string, paging_offset long").select("part", c("day").cast("timestamp").alias("bucket"), "paging_offset")
+    index = paging.PageIndex.of(rows, ["part"], "ts", "event_id", granularity("day"), descending)
+    pages = [page for page, _ in paging.read_on(index, 25, cursor, most_pages=2)]
+    out = s.union_all([page.withColumn("page_number", F.lit(i + 1)) for i, page in enumerate(pages)])
+    return out.select("part", "bucket", "event_id", "value", "paging_offset", "page_number")
+
+
+@query("select_paged_buckets", _bucket_sql(False))
+def select_paged_buckets(t):
+    return _bucket_pages(t, False)
+
+
+@query("select_paged_buckets_desc", _bucket_sql(True))
+def select_paged_buckets_desc(t):
+    return _bucket_pages(t, True)
+
+
+@query(
+    "merge_bucket_pages",
+    """
+    WITH n AS (SELECT *, row_number() OVER (PARTITION BY part, bucket ORDER BY ts, event_id) - 1 AS o
+      FROM (SELECT (event_id % 3)::INTEGER AS part, date_trunc('day', ts)::TIMESTAMP AS bucket, ts, event_id FROM events))
+    SELECT bucket, part, event_id, o::BIGINT AS paging_offset FROM (
+      SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY ts, part, o) AS place FROM n WHERE o < 25) WHERE place <= 25
+    """,
+)
+def merge_bucket_pages(t):
+    rows = t.events.select((c("event_id") % 3).cast("int").alias("part"), "ts", "event_id")
+    page = paging.PageIndex.of(rows, ["part"], "ts", "event_id", granularity("day")).page(None, 25)
+    return paging.merge_pages(page, "ts", ["part"], 25).select("bucket", "part", "event_id", "paging_offset")
+
+
 @query(
     "paging_identifiers",
     f"WITH {PAGED} SELECT segment, least(count(*), 25)::BIGINT - 1 AS paging_offset FROM r GROUP BY 1",
