@@ -1,8 +1,11 @@
 """Spatial queries over the first two components of the embeddings."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from tallyspan.functions import spatial as sp
+from tallyspan.operators import shapes
 from tallyspan.operators.spatial import join_boxes
 from tallyspan.plans.registry import query
 
@@ -106,3 +109,44 @@ def spatial_join(t):
         (c("y").cast("double") + 0.02).cast("float").alias("max_y"),
     )
     return join_boxes(points, "x", "y", boxes).select("vec_id", "box_id")
+
+
+# a circle, a box or a star of ten corners around the first point of every grid cell, and one polygon around all points
+SHAPE_CORNERS = 10
+SHAPES_SQL = f"""
+    {POINTS}, g AS (SELECT min(vec_id)::BIGINT AS shape_id, min(x)::DOUBLE AS x, min(y)::DOUBLE AS y, (0.02 + (min(vec_id) % 7) * 0.01)::FLOAT::DOUBLE AS r
+      FROM p GROUP BY floor(x * 20), floor(y * 20)),
+    corner AS (SELECT shape_id, k, (x + (CASE WHEN k % 2 = 0 THEN r ELSE r / 4 END) * ({{cos}})[k + 1])::FLOAT::DOUBLE AS cx,
+        (y + (CASE WHEN k % 2 = 0 THEN r ELSE r / 4 END) * ({{sin}})[k + 1])::FLOAT::DOUBLE AS cy
+      FROM g, (SELECT unnest(range({SHAPE_CORNERS})) AS k) WHERE shape_id % 3 = 2
+      UNION ALL SELECT -1, k, [-9.0, 9.0, 9.0, -9.0][k + 1], [-8.0, -9.0, 8.0, 7.0][k + 1] FROM (SELECT unnest(range(4)) AS k)),
+    edge AS (SELECT a.shape_id, a.cx AS ax, a.cy AS ay, b.cx AS bx, b.cy AS "by" FROM corner a JOIN corner b
+      ON a.shape_id = b.shape_id AND b.k = (a.k + 1) % (CASE WHEN a.shape_id < 0 THEN 4 ELSE {SHAPE_CORNERS} END)),
+    t AS (SELECT vec_id, shape_id, p.x::DOUBLE AS x, p.y::DOUBLE AS y, ax, ay, bx, "by", (bx - ax) * (p.y::DOUBLE - ay) - ("by" - ay) * (p.x::DOUBLE - ax) AS turn FROM p, edge)
+    SELECT vec_id, shape_id FROM t GROUP BY vec_id, shape_id
+    HAVING bool_or(turn = 0 AND x BETWEEN least(ax, bx) AND greatest(ax, bx) AND y BETWEEN least(ay, "by") AND greatest(ay, "by"))
+      OR count(*) FILTER (WHERE (ay <= y) <> ("by" <= y) AND ((turn > 0) = ("by" > ay)) AND turn <> 0) % 2 = 1
+    UNION ALL
+    SELECT vec_id, shape_id FROM p JOIN g ON shape_id % 3 = 0 AND power((p.x - g.x::FLOAT)::DOUBLE, 2) + power((p.y - g.y::FLOAT)::DOUBLE, 2) <= power(r, 2)
+    UNION ALL
+    SELECT vec_id, shape_id FROM p JOIN g ON shape_id % 3 = 1 AND p.x >= (g.x - r)::FLOAT AND p.x <= (g.x + r)::FLOAT AND p.y >= (g.y - r / 2)::FLOAT AND p.y <= (g.y + r / 2)::FLOAT
+"""
+_TURNS = [2 * math.pi * k / SHAPE_CORNERS for k in range(SHAPE_CORNERS)]
+COS, SIN = [round(math.cos(a), 6) for a in _TURNS], [round(math.sin(a), 6) for a in _TURNS]
+
+
+@query("spatial_join_shapes", "WITH " + SHAPES_SQL.format(cos=[float(v) for v in COS], sin=[float(v) for v in SIN]))
+def spatial_join_shapes(t):
+    points = _points(t).select("vec_id", F.get("at", 0).alias("x"), F.get("at", 1).alias("y"))
+    around = points.groupBy(F.floor(c("x") * 20), F.floor(c("y") * 20)).agg(F.min("vec_id").alias("shape_id"), F.min("x").alias("x"), F.min("y").alias("y"))
+    around = around.select(
+        "shape_id", c("x").cast("double").alias("x"), c("y").cast("double").alias("y"), (0.02 + (c("shape_id") % 7) * 0.01).cast("float").cast("double").alias("r")
+    )
+    arm = lambda k: c("r") if k % 2 == 0 else c("r") / 4
+    star = shapes.polygon(F.array(*[c("x") + arm(k) * v for k, v in enumerate(COS)]), F.array(*[c("y") + arm(k) * v for k, v in enumerate(SIN)]))
+    square = shapes.box(c("x") - c("r"), c("x") + c("r"), c("y") - c("r") / 2, c("y") + c("r") / 2)
+    kind = c("shape_id") % 3
+    some = around.select("shape_id", F.when(kind == 0, shapes.circle(c("x"), c("y"), c("r"))).when(kind == 1, square).otherwise(star).alias("shape"))
+    corners = [F.array(*[F.lit(v) for v in side]) for side in ([-9.0, 9.0, 9.0, -9.0], [-8.0, -9.0, 8.0, 7.0])]
+    whole = t.spark.range(1).select(F.lit(-1).cast("long").alias("shape_id"), shapes.polygon(*corners).alias("shape"))
+    return shapes.join_shapes(points, "x", "y", some.unionByName(whole)).select("vec_id", "shape_id")
