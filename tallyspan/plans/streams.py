@@ -6,9 +6,12 @@ from tallyspan.functions.granularity import granularity
 from tallyspan.operators import aggregate as a
 from tallyspan.plans.alerts import requests_of
 from tallyspan.plans.registry import query
+from tallyspan.session import scratch_path
 from tallyspan.streaming.outbox import outbox_available
 from tallyspan.streaming.rollup import rollup_available
-from tallyspan.streaming.sinks import stream_table
+from tallyspan.streaming.sinks import BATCH, set_arrival_times, stream_table
+from tallyspan.streaming.watermark import rollup_appended
+from tallyspan.tables import SCHEMAS
 
 c = F.col
 
@@ -46,3 +49,60 @@ def rollup_stream(t):
 def alert_outbox_stream(t):
     stream = stream_table(t.spark, t.sf_dir, "events")
     return outbox_available(requests_of(stream)).drop("body")
+
+
+# rows arrive in six files, by time, but every seventh up to nine days after its time
+ARRIVALS = 6
+ARRIVED_SQL = """
+    e AS (SELECT *, least(5, (date_diff('day', TIMESTAMP '2024-01-01', ts) + CASE WHEN event_id % 7 = 0 THEN event_id % 10 ELSE 0 END) // 6) AS arrived FROM events),
+    w AS (SELECT arrived, max(max(ts)) OVER (ORDER BY arrived) - INTERVAL '36 hours' AS after FROM e GROUP BY arrived),
+    j AS (SELECT e.*, b.after AS mark, date_trunc('hour', ts) + INTERVAL '1 hour' AS ends, ts < TIMESTAMP '2024-01-02' AS early
+      FROM e LEFT JOIN w b ON b.arrived = (SELECT max(arrived) FROM w x WHERE x.arrived < e.arrived)),
+    kept AS (SELECT * FROM j WHERE NOT early AND (mark IS NULL OR ends > mark))
+"""
+
+
+def _arriving(t):
+    """The events as a stream of small files, one per micro-batch, in the order of arrival."""
+    day = F.datediff(c("ts"), F.lit("2024-01-01").cast("date"))
+    late = F.when(c("event_id") % 7 == 0, c("event_id") % 10).otherwise(0)
+    rows = t.events.withColumn("arrived", F.least(F.lit(ARRIVALS - 1), F.floor((day + late) / 6)).cast("int"))
+    folder = scratch_path(t.spark, "arrivals")
+    rows.repartition("arrived").write.partitionBy("arrived").parquet(folder)
+    set_arrival_times(t.spark, folder)
+    schema = f"{SCHEMAS['events']}, arrived int"
+    return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _appended(t):
+    aggs = [a.count("n"), a.double_sum("total", c("value")), a.double_last("last_value", c("value"), "ts", "event_id", state=True)]
+    job = rollup_appended(scratch_path(t.spark, "appended"), "ts", granularity("hour"), ["event_type"], aggs, "36 hours", "2024-01-02 00:00:00")
+    stream = _arriving(t)
+    job.run(stream, scratch_path(t.spark, "appended-stream"))
+    return job, t.spark.createDataFrame([], stream.schema)
+
+
+@query(
+    "rollup_stream_append",
+    f"""
+    WITH {ARRIVED_SQL}
+    SELECT date_trunc('hour', ts) AS bucket, event_type, count(*)::BIGINT AS n, round(sum(value), 4) AS total, arg_max(value, (ts, event_id)) AS last_value
+    FROM kept WHERE ends <= (SELECT max(after) FROM w) GROUP BY 1, 2
+    """,
+)
+def rollup_stream_append(t):
+    job, rows = _appended(t)
+    return job.emitted(rows).drop(BATCH).withColumn("total", F.round("total", 4))
+
+
+@query(
+    "rollup_stream_late",
+    f"""
+    WITH {ARRIVED_SQL}
+    SELECT event_id, ts, arrived::INTEGER AS arrived, CASE WHEN early THEN 'before the minimum time' ELSE 'late' END AS reason
+    FROM j WHERE early OR ends <= mark
+    """,
+)
+def rollup_stream_late(t):
+    job, rows = _appended(t)
+    return job.rejected(rows).select("event_id", "ts", "arrived", "reason")
