@@ -10,7 +10,8 @@ Two documents link when their sets of distinct word shingles have a Jaccard simi
   Rarity is counted on a fixed three eighths of the hash space, and that part comes first in the common
   order, so the order is total and the prefix rule exact while most shingles are never shuffled. A shingle
   of one document only is a mismatch in its prefix, so most documents end there. Lists with the same least
-  member are scanned as one, long ones in pairs of blocks, and every candidate is verified on its whole text.
+  member are scanned as one. Every candidate is verified on its whole set: against the first members of its list, then,
+  if these have not connected them, against all others (``list_edges``).
 
 The passes over the texts write no copy of them. Shingles are 64-bit hashes, so two different ones are
 taken for equal with a chance of 2^-64.
@@ -33,7 +34,10 @@ from tallyspan.session import materialise
 
 SAMPLED = 3  # eighths of the hash space in which rarity is counted
 LIGHT_MOST = 24  # sizes up to which the cost of subsets is compared at all
-BLOCK = 256  # members of an inverted list that one task compares with as many others
+HEADS = 32  # members of an inverted list that all others are compared with first
+SPREAD = 1024  # members of a list that one task compares with the heads
+BLOCK = 256  # members outside a list's largest component that one task holds while the list passes by
+BLOCK_BYTES = 8 << 20  # and their bytes
 BUCKET_ENTRIES = 1_500_000  # inverted-list entries that one task sorts at a time
 HOT_MOST = 100_000  # shingles kept as frequent: a bound on a broadcast, not on the result
 
@@ -258,53 +262,120 @@ def light_edges(sets: DataFrame, most: int, percent: int) -> DataFrame:
     )
 
 
-def _verify(n: int, percent: int):
-    """The links between two blocks of an inverted list, as a forest: at most one row per member."""
+class _Index:
+    """Overlaps of one set with each of several others."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets])
+        values = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(values, kind="stable")
+        self.values, self.owner = values[order], owner[order]
+
+    def similar(self, own: np.ndarray, percent: int) -> np.ndarray:
+        """Positions of the sets that are similar to ``own``."""
+        lo, hi = np.searchsorted(self.values, own, "left"), np.searchsorted(self.values, own, "right")
+        lengths = hi - lo
+        at = np.repeat(lo - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
+        common = np.bincount(self.owner[at], minlength=len(self.sizes))
+        return np.flatnonzero(100 * common >= percent * (self.sizes + len(own) - common))
+
+
+class _Joined:
+    """Which labels are known to be connected."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """False if they were connected already."""
+        x, y = self.top(x), self.top(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _against(percent: int):
+    """Links of the rows of a part with the sets at its head, as a forest; rows are (list, part, head, fp, label, set), heads first.
+
+    Only the heads are held; the other rows pass by one at a time. Labels that are connected are not linked again.
+    """
 
     def run(batches):
-        for group in sorted_groups(batches, ["centre", "i", "j"]):
-            keys, texts = group.column("fp").to_pylist(), group.column("text").combine_chunks()
-            block = group.column("block").to_pylist()
-            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-            if len(keys) < 2:
-                continue
-            sets = [found for _, found in _sets(texts, n)]
-            forest = list(linked(sets, [k == i for k in block] if i != j else None, percent))
-            a, b = [keys[x] for x, _ in forest], [keys[y] for _, y in forest]
-            if a:
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        here, heads, labels, index, joined = None, [], [], None, _Joined()
+        for batch in batches:
+            keys = zip(*(batch.column(k).to_pylist() for k in ("centre", "part", "head", "fp", "label")))
+            a, b = [], []
+            for (centre, part, head, fp, label), elements in zip(keys, batch.column("elements")):
+                if here != (centre, part):
+                    here, heads, labels, index, joined = (centre, part), [], [], None, _Joined()
+                own = np.frombuffer(elements.as_buffer(), U64)
+                if head:
+                    heads.append((fp, own))
+                    labels.append(label)
+                    continue
+                if index is None:
+                    index = _Index([found for _, found in heads])
+                for x in index.similar(own, percent).tolist():
+                    if heads[x][0] != fp and joined.join(labels[x], label):
+                        a.append(fp)
+                        b.append(heads[x][0])
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def linked(sets: list[np.ndarray], left: list[bool] | None, percent: int):
-    """Pairs of positions whose sets are similar; a pair that earlier ones connect is not looked at.
+def _linked(members: DataFrame, sets: DataFrame, percent: int, parallel: int) -> DataFrame:
+    """Edges found by ``_against`` for members (centre, part, head, fp, label)."""
+    return (
+        members.join(sets, "fp")
+        .select("centre", "part", "head", "fp", "label", "elements")
+        .repartition(parallel, "centre", "part")
+        .sortWithinPartitions("centre", "part", F.desc("head"))
+        .mapInArrow(_against(percent), "a long, b long")
+    )
+
+
+def _parts(rows: DataFrame, number) -> DataFrame:
+    """A row for each of ``number`` parts."""
+    return rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), number - 1)))
+
 
-    With ``left`` only pairs across the two sides count. Overlaps come from one index over the shingles of
-    the group, one set against all others at a time.
+def list_edges(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges that connect what is similar within each list; units are (centre, fp), sets (fp, elements).
+
+    First every member meets the HEADS members that come first in its list: a list of no more is done, and a group of
+    near copies is mostly connected, by one edge per member. Then only members outside the list's largest component meet
+    the whole list, in parts of bounded size, and only sets of different components are linked. So rows and edges grow
+    with the members of a group of near copies, not with its pairs, and every pair is decided.
     """
-    sizes = np.array([len(s) for s in sets])
-    values = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    sides = None if left is None else np.array(left)
-    label = np.arange(len(sets))
-    for x in range(len(sets)):
-        fit = (100 * sizes >= percent * sizes[x]) & (100 * sizes[x] >= percent * sizes) & (label != label[x])
-        fit[: x + 1] = False
-        if sides is not None:
-            fit &= sides != sides[x]
-        if not fit.any():
-            continue
-        lo, hi = np.searchsorted(values, sets[x], "left"), np.searchsorted(values, sets[x], "right")
-        lengths = hi - lo
-        at = np.repeat(lo - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
-        common = np.bincount(owner[at], minlength=len(sets))
-        for y in np.flatnonzero(fit & (100 * common >= percent * (sizes + sizes[x] - common))):
-            if label[y] != label[x]:
-                label[label == label[y]] = label[x]
-                yield x, int(y)
+    parallel = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = units.groupBy("centre").agg(F.count("*").alias("m"))
+    rank = F.row_number().over(Window.partitionBy("centre").orderBy(F.xxhash64("fp"), "fp"))
+    parts = F.ceil(F.col("m") / SPREAD)
+    first = units.withColumn("rank", rank).where(F.col("rank") <= HEADS).drop("rank").join(sizes, "centre")
+    heads = _parts(first, parts).select("centre", "part", F.lit(True).alias("head"), "fp")
+    others = units.join(sizes, "centre").select("centre", F.pmod(F.xxhash64(F.lit(2), "fp"), parts).alias("part"), F.lit(False).alias("head"), "fp")
+    stars = materialise(_linked(heads.unionByName(others).withColumn("label", F.col("fp")), sets, percent, parallel), "stars")
+    long = materialise(units.join(sizes.where(F.col("m") > HEADS), "centre").select("centre", "fp"), "long-lists")
+    if long.isEmpty():
+        return stars
+    roots = components(stars).withColumnRenamed("node", "fp").withColumnRenamed("root", "label")
+    named = materialise(long.join(roots, "fp", "left").select("centre", "fp", F.coalesce("label", "fp").alias("label")), "labelled")
+    groups = named.groupBy("centre", "label").agg(F.count("*").alias("n"))
+    open_lists = groups.groupBy("centre").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.count("*").alias("groups")).where("groups > 1")
+    rest = named.join(open_lists, "centre").where(F.col("label") != F.col("most")).select("centre", "fp", "label")
+    rest = materialise(rest.join(sets.select("fp", F.octet_length("elements").alias("bytes")), "fp"), "left-over")
+    room = rest.groupBy("centre").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).alias("parts"))
+    heads = rest.join(room, "centre").select("centre", F.pmod(F.xxhash64(F.lit(3), "fp"), "parts").alias("part"), F.lit(True).alias("head"), "fp", "label")
+    others = _parts(named.join(room, "centre"), F.col("parts")).select("centre", "part", F.lit(False).alias("head"), "fp", "label")
+    # a part that no left-over member fell into has nothing to compare
+    others = others.join(heads.select("centre", "part").distinct(), ["centre", "part"], "left_semi")
+    return stars.unionByName(_linked(heads.unionByName(others), sets, percent, parallel))
 
 
 def heavy_edges(docs: DataFrame, frequent, n: int, percent: int, floor: int, buckets: int) -> DataFrame:
@@ -334,32 +405,27 @@ def heavy_edges(docs: DataFrame, frequent, n: int, percent: int, floor: int, buc
     order = F.xxhash64("fp")
     lists = prefix.groupBy("h").agg(F.count("*").alias("n"), F.min(order).alias("centre")).where("n > 1").select("h", "centre")
     units = materialise(prefix.join(lists, "h").select("centre", "fp").distinct(), "units")
-    sizes = units.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    members = (
-        units.join(sizes, "centre")
-        .withColumn("block", F.pmod(F.xxhash64(F.lit(2), "fp"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp")
-    )
-    members = materialise(members, "members")
-    bits = spark.sparkContext.broadcast(bloom.build(members.select("fp").distinct()))
-    texts = docs.select("text").mapInArrow(_wanted(n, bits), "fp long, text string").groupBy("fp").agg(F.min("text").alias("text"))
-    return (
-        members.join(texts, "fp")
-        .repartition(parallel, "centre", "i", "j")
-        .sortWithinPartitions("centre", "i", "j")
-        .mapInArrow(_verify(n, percent), "a long, b long")
-    )
+    bits = spark.sparkContext.broadcast(bloom.build(units.select("fp").distinct()))
+    sets = docs.select("text").mapInArrow(_wanted(n, bits), "fp long, elements binary").groupBy("fp").agg(F.first("elements").alias("elements"))
+    return list_edges(units, materialise(sets, "list-sets"), percent)
 
 
 def _wanted(n: int, bits):
-    """(key, text) of the sets that may be members of a list."""
+    """(key, elements) of the sets that may be members of a list."""
 
     def run(batches):
         for b in batches:
-            keys = np.array([fingerprint(found) for _, found in _sets(b.column(0), n)], np.int64)
-            want = pa.array(bloom.may_hold(bits.value, keys) & (keys >= 0))
-            yield pa.RecordBatch.from_arrays([pa.array(keys).filter(want), b.column(0).filter(want)], ["fp", "text"])
+            keys, elements, held = [], [], 0
+            for _, found in _sets(b.column(0), n):
+                key = fingerprint(found)
+                if key >= 0 and bloom.may_hold(bits.value, np.array([key], np.int64))[0]:
+                    keys.append(key)
+                    elements.append(found.tobytes())
+                    held += len(elements[-1])
+                if held > BLOCK_BYTES:
+                    yield pa.RecordBatch.from_pydict({"fp": pa.array(keys, pa.int64()), "elements": pa.array(elements, pa.binary())})
+                    keys, elements, held = [], [], 0
+            yield pa.RecordBatch.from_pydict({"fp": pa.array(keys, pa.int64()), "elements": pa.array(elements, pa.binary())})
 
     return run
 

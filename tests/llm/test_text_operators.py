@@ -112,7 +112,8 @@ def test_jaccard_equals_all_pairs(spark, n, percent):
 
 
 def test_jaccard_blocks_of_a_long_list(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    for name, value in (("BLOCK", 8), ("HEADS", 2), ("SPREAD", 8), ("BLOCK_BYTES", 9000)):
+        monkeypatch.setattr(jaccard_join, name, value)
     rng = np.random.default_rng(5)
     base = [f"v{k}" for k in range(80)]
     texts = [edited(rng, base, int(rng.integers(0, 4))) for _ in range(60)]
@@ -120,6 +121,43 @@ def test_jaccard_blocks_of_a_long_list(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == plain_groups(texts, 4, 85)
 
 
+def test_edges_of_near_copies_grow_with_their_number(spark):
+    """Lists of near copies of different distance: rows that link them, and the groups they make."""
+
+    def edges(m):
+        rng = np.random.default_rng(m)
+        base = rng.integers(1, 1 << 62, 100).astype(np.uint64)
+        sets = []
+        for _ in range(m):
+            own = base.copy()
+            at = rng.choice(100, int(rng.integers(0, 12)), replace=False)
+            own[at] = rng.integers(1, 1 << 62, len(at)).astype(np.uint64)
+            sets.append(np.unique(own))
+        units = spark.createDataFrame([(7, i) for i in range(m)], "centre long, fp long")
+        rows = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(sets)], "fp long, elements binary")
+        found = [(r.a, r.b) for r in jaccard_join.list_edges(units, rows, 85).collect()]
+        label = list(range(m))
+        linked = list(range(m))
+
+        def top(up, x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in found:
+            label[max(top(label, a), top(label, b))] = min(top(label, a), top(label, b))
+        for i in range(m):
+            for j in range(i):
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+                    linked[max(top(linked, i), top(linked, j))] = min(top(linked, i), top(linked, j))
+        assert [top(label, i) for i in range(m)] == [top(linked, i) for i in range(m)]
+        return len(found)
+
+    few, many = edges(150), edges(600)
+    assert many <= 6 * few and many <= 3 * 600
+
+
 def test_jaccard_odd_ids(spark):
     text = "a b c d e f g h"
     df = spark.createDataFrame([(7, text), (None, text), (3, text), (3, text), (None, "z z z z z"), (5, "")], "doc_id long, text string")
