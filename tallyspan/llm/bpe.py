@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from dataclasses import dataclass
 
 import numpy as np
@@ -105,24 +106,29 @@ def read_vocabulary(path: str, pattern: str) -> Vocabulary:
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ranks of a piece's tokens: always the pair of least rank, leftmost first, becomes one token."""
     n = len(piece)
-    after = list(range(1, n + 1))  # end of the token that starts here; 0 once merged away
+    rank_of, push, pop = ranks.get, heapq.heappush, heapq.heappop
+    after = list(range(1, n + 1))  # end of the token that starts here
     before = list(range(-1, n))
-    rank_of = ranks.get
-    # an entry is rank, start and end in one integer, which a heap compares faster than a tuple
-    heap = [r << 64 | i << 32 | i + 2 for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
+    pair = [rank_of(piece[i : i + 2], -1) for i in range(n)]  # rank of the token here with the next one; -1 if none
+    pair[n - 1] = -1
+    # an entry is rank and start in one small integer; it holds as long as the pair there has that rank
+    heap = [r * n + i for i, r in enumerate(pair) if r >= 0]
     heapq.heapify(heap)
     while heap:
-        top = heapq.heappop(heap)
-        start, end = top >> 32 & 0xFFFFFFFF, top & 0xFFFFFFFF
-        middle = after[start]
-        if not middle or middle >= n or after[middle] != end:
+        rank, start = divmod(pop(heap), n)
+        if pair[start] != rank:
             continue
-        after[start], after[middle], before[end] = end, 0, start
-        if end < n and (r := rank_of(piece[start : after[end]])) is not None:
-            heapq.heappush(heap, r << 64 | start << 32 | after[end])
+        middle = after[start]
+        end = after[start] = after[middle]
+        before[end], pair[middle] = start, -1
+        pair[start] = r = rank_of(piece[start : after[end]], -1) if end < n else -1
+        if r >= 0:
+            push(heap, r * n + start)
         left = before[start]
-        if left >= 0 and (r := rank_of(piece[left:end])) is not None:
-            heapq.heappush(heap, r << 64 | left << 32 | end)
+        if left >= 0:
+            pair[left] = r = rank_of(piece[left:end], -1)
+            if r >= 0:
+                push(heap, r * n + left)
     out, at = [], 0
     while at < n:
         out.append(ranks[piece[at : after[at]]])
@@ -130,6 +136,10 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Resolves pre-tokens to their ids as bytes."""
 
@@ -149,7 +159,7 @@ class Encoder:
         if new:
             raw = [p.encode() for p in new]
             for piece, data, rank in zip(new, raw, self.vocabulary.whole(raw)):
-                ids = rank.to_bytes(4, "little") if rank >= 0 else np.array(merge(data, self.ranks), "<u4").tobytes()
+                ids = rank.to_bytes(4, "little") if rank >= 0 else _packed(merge(data, self.ranks))
                 (known if len(piece) <= REMEMBERED_LENGTH else once)[piece] = ids
         if once:
             look = lambda p: known.get(p) or once[p]
