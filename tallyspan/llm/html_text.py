@@ -46,6 +46,10 @@ NOT_TEXT = frozenset(
     " object script select style svg template textarea title video xmp".split()
 )
 CONTAINERS = frozenset("aside center dir div dl fieldset figure footer form header menu nav ol section table ul".split())
+PROSE = frozenset(
+    "a abbr b bdi bdo big blockquote cite code data dd del dfn dt em figcaption font h1 h2 h3 h4 h5 h6 i ins kbd label li mark p pre q s samp"
+    " small span strike strong sub summary sup td th time tr tt u var".split()
+)
 TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 NO_ARTICLE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 NO_ARTICLE_NAMES = frozenset(
@@ -59,7 +63,8 @@ NO_ARTICLE_STARTS = ("advert", "breadcrumb", "comment", "cookie", "navbar", "new
 _COMMENT = re.compile(r"<!--(?:>|->)|<!--.*?(?:--!?>|\Z)", re.S)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>")
 _OTHER = re.compile(r"<[!?/][^>]*+>?")
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_TELLING = re.compile(r"class|id|role|hidden", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
@@ -187,15 +192,19 @@ def is_template_shaped(node: Node) -> bool:
 def no_article(node: Node, names: bool = True, inside: bool = False) -> bool:
     """By its element, role, class or id the node holds no article text; without ``names`` class and id don't count.
 
-    ``inside`` an article, ids of headings and sections are made from their titles and tell nothing.
+    ``inside`` an article, ids of headings and sections are made from their titles and tell nothing, and classes and ids
+    of inline elements, paragraphs, list items and other prose blocks are about style: only containers have such names.
     """
     if node.tag in NOT_TEXT:
         return True
-    if node.attributes and node.tag not in ("html", "body", "main"):
+    if node.attributes and node.tag not in ("html", "body", "main") and _TELLING.search(node.attributes):
+        names = names and not (inside and node.tag in PROSE)
         for name, *value in _ATTRIBUTE.findall(node.attributes):
             name, value = name.lower(), html.unescape("".join(value))
             if name == "hidden":
                 return True
+            if name not in ("class", "id", "role"):
+                continue
             if name == "role":
                 if value.lower() in NO_ARTICLE_ROLES:
                     return True

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyspan.llm.bpe import Vocabulary, _encoder
@@ -44,17 +45,43 @@ def allocate(starts: np.ndarray, stops: np.ndarray, ends: np.ndarray, rule: str)
     if rule == "last":
         return np.bincount(last, minlength=count).astype(np.float64)
     out = np.bincount(first[first == last], minlength=count).astype(np.float64)
-    borders = np.concatenate(([0], ends, [np.iinfo(np.int64).max]))
-    for t in np.flatnonzero(first != last):
-        sections = np.arange(first[t], last[t] + 1)
-        held = np.minimum(borders[sections + 1], stops[t]) - np.maximum(borders[sections], starts[t])
+    across = np.flatnonzero(first != last)
+    if len(across):
+        borders = np.concatenate(([0], ends, [np.iinfo(np.int64).max]))
+        pieces = last[across] - first[across] + 1
+        begin = np.concatenate(([0], np.cumsum(pieces)[:-1]))
+        token = np.repeat(across, pieces)
+        section = np.repeat(first[across] - begin, pieces) + np.arange(len(token))
+        held = np.minimum(borders[section + 1], stops[token]) - np.maximum(borders[section], starts[token])
         if rule == "largest":
-            out[sections[held.argmax()]] += 1
+            order = np.lexsort((section, -held, token))
+            out += np.bincount(section[order[begin]], minlength=count)
         else:
-            np.add.at(out, sections, held / held.sum())
+            out += np.bincount(section, held / np.repeat(np.add.reduceat(held, begin), pieces), minlength=count)
     return out
 
 
+def section_ends(lengths: pa.Array, until: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number, end) of every section of consecutive texts, of which text k ends at until[k]; ends run over all texts.
+
+    Each text's sections are followed by one more, numbered -1, for what is past them. A null list has no sections, a
+    null length is 0.
+    """
+    counts = pc.fill_null(pc.list_value_length(lengths), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    running = np.concatenate(([0], np.cumsum(pc.fill_null(lengths.flatten(), 0).to_numpy(zero_copy_only=False).astype(np.int64))))
+    before = np.cumsum(counts) - counts
+    text = np.repeat(np.arange(len(counts)), counts)
+    number = np.arange(len(text)) - before[text]
+    begin = np.concatenate(([0], until[:-1]))
+    own = np.minimum(begin[text] + running[1:] - running[before[text]], until[text])
+    past = np.arange(len(counts)) + before + counts
+    numbers, ends = np.full(len(text) + len(counts), -1), np.empty(len(text) + len(counts), np.int64)
+    ends[past] = until
+    numbers[np.arange(len(text)) + text] = number
+    ends[np.arange(len(text)) + text] = own
+    return numbers, ends
+
+
 def count_tokens(docs: DataFrame, vocabulary: Vocabulary, lengths: Column, rule: str = "largest", text: str | Column = "text") -> DataFrame:
     """(doc_id, section, n_chars, n_tokens): a row per section, numbered from 0, of every row of ``docs``.
 
@@ -75,28 +102,22 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, lengths: Column, rule:
             for first, last in chunks(bounds):
                 part = batch.slice(first, last - first)
                 ids = encoder.encode(part.column(1).fill_null("").to_pylist())
-                rows, sections, chars, tokens = [], [], [], []
-                for k, own in enumerate(part.column(2).to_pylist()):
-                    raw = data[bounds[first + k] : bounds[first + k + 1]]
-                    character = np.cumsum((raw & 0xC0) != 0x80)
-                    total = int(character[-1]) if len(raw) else 0
-                    ends = np.minimum(np.cumsum(np.array(own or [], np.int64)), total)
-                    upto = np.cumsum(token_bytes[np.frombuffer(ids[k], "<u4")])
-                    if len(upto):
-                        starts = character[np.concatenate(([0], upto[:-1]))] - 1
-                        found = allocate(starts, character[upto - 1], ends, rule)
-                    else:
-                        found = np.zeros(len(ends) + 1)
-                    size = np.diff(np.concatenate(([0], ends, [total])))
-                    n = len(ends) + (size[-1] > 0)
-                    rows.append(np.full(n, k))
-                    sections.append(np.arange(n))
-                    sections[-1][len(ends) :] = -1
-                    chars.append(size[:n])
-                    tokens.append(found[:n])
-                number = np.concatenate(sections)
+                character = np.cumsum((data[bounds[first] : bounds[last]] & 0xC0) != 0x80)
+                until = np.concatenate(([0], character))[bounds[first + 1 : last + 1] - bounds[first]]  # where each text ends
+                number, ends = section_ends(part.column(2), until)
+                # the spans of a chunk's texts follow one another, so one search serves all
+                upto = np.cumsum(token_bytes[np.frombuffer(b"".join(ids), "<u4")])
+                if len(upto):
+                    starts = character[np.concatenate(([0], upto[:-1]))] - 1
+                    tokens = allocate(starts, character[upto - 1], ends, rule)[:-1]
+                else:
+                    tokens = np.zeros(len(ends))
+                size = np.diff(ends, prepend=0)
+                row = np.cumsum(number < 0) - (number < 0)
+                keep = (number >= 0) | (size > 0)
+                number = number[keep]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(np.concatenate(rows))), pa.array(number.astype(np.int32), mask=number < 0), pa.array(np.concatenate(chars).astype(np.int64)), pa.array(np.concatenate(tokens))],
+                    [part.column(0).take(pa.array(row[keep])), pa.array(number.astype(np.int32), mask=number < 0), pa.array(size[keep].astype(np.int64)), pa.array(tokens[keep])],
                     ["doc_id", "section", "n_chars", "n_tokens"],
                 )
 

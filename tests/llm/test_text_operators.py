@@ -7,11 +7,12 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tallyspan.llm import bloom, bpe, decontaminate, jaccard_join, pii, quality, rows, token_counts, words
+from tallyspan.llm import bloom, bpe, decontaminate, html_text, jaccard_join, pii, quality, rows, token_counts, words
 from tallyspan.llm.queries import QUERIES
 from tallyspan.llm.registry import reachable
 
@@ -536,3 +537,61 @@ def test_every_language_has_limits_of_its_own(spark):
     assert sorted(r.doc_id for r in got) == sorted(d for d, _, _ in rows_)
     assert {r.doc_id for r in got if not r.keep} == {9900}
     assert sorted(r.doc_id for r in quality.keep_good(docs, model).collect()) == sorted(d for d, _, _ in rows_ if d != 9900)
+
+
+def test_words_said_again():
+    """The separators after words that equal the word before in the same text, whatever stands between the two."""
+    texts = ["the The  the. the.\nthe", "", " a a", "a b a", "Osó Osó osó Oso x", "ab ab", "\n"]
+    raw = [t.encode() for t in texts]
+    bounds = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+    want = []
+    for text, begin in zip(raw, bounds):
+        found = [(m.group(), m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)]
+        want += [begin + b[2] for a, b in zip(found, found[1:]) if a[0].lower() == b[0].lower() and b[2] < len(text)]
+    assert quality.said_again(np.frombuffer(b"".join(raw), np.uint8), bounds).tolist() == want
+    assert len(quality.said_again(np.zeros(0, np.uint8), np.array([0, 0]))) == 0
+
+
+def test_section_ends_and_crossing_tokens():
+    """One search over the texts of a chunk gives what each text alone gives, token by token."""
+    rng = np.random.default_rng(3)
+    for rule in token_counts.RULES:
+        totals = rng.integers(0, 30, 40)
+        lengths = [None if k % 9 == 4 else [None if x == 5 else int(x) for x in rng.integers(0, 9, rng.integers(0, 6))] for k in range(40)]
+        until = np.cumsum(totals)
+        number, ends = token_counts.section_ends(pa.array(lengths, pa.list_(pa.int32())), until)
+        cuts = [np.unique(np.concatenate(([0, n], rng.integers(0, n + 1, n // 3)))) for n in totals]
+        starts = np.concatenate([c[:-1] + u - n for c, u, n in zip(cuts, until, totals)])
+        stops = np.concatenate([c[1:] + u - n for c, u, n in zip(cuts, until, totals)])
+        got = token_counts.allocate(starts, stops, ends, rule)[:-1]
+        want = []
+        for own, n, c in zip(lengths, totals, cuts):
+            borders = [0]
+            for x in own or []:
+                borders.append(min(borders[-1] + (x or 0), n))
+            borders.append(n)
+            tokens = [0.0] * (len(borders) - 1)
+            for a, b in zip(c[:-1], c[1:]):
+                held = [max(0, min(b, y) - max(a, x)) for x, y in zip(borders, borders[1:])]
+                holders = [i for i, h in enumerate(held) if h]
+                for i, h in enumerate(held):
+                    tokens[i] += {"first": i == holders[0], "last": i == holders[-1], "largest": i == held.index(max(held)), "share": h / (b - a)}[rule]
+            want += tokens
+            assert (number[len(want) - len(tokens) : len(want)] == [*range(len(tokens) - 1), -1]).all()
+        assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize(
+    "inner",
+    ['<div style="overflow:hidden">T</div>', '<p aria-hidden="false">T</p>', '<p title="a hidden gem">T</p>', '<div data-role="form">T</div>',
+     '<p id="social-effects">T</p>', '<p>a <span class="comment">T</span></p>', "<p title='x class=\"ad\" y'>T</p>", '<li class="respond">T</li>'],
+)
+def test_attributes_that_hide_nothing(spark, inner):
+    pages = spark.createDataFrame([(1, "http://a/x", f"<nav>menu</nav><article><p>Begin</p>{inner}</article>")], "page_id long, url string, html string")
+    assert html_text.extract(pages).first().text.replace("a T", "T") == "Begin\nT"
+
+
+@pytest.mark.parametrize("inner", ["<div hidden>T</div>", '<div CLASS = "x ad">T</div>', "<div role=navigation>T</div>", '<div a=b id="sidebar">T</div>'])
+def test_attributes_that_hide(spark, inner):
+    pages = spark.createDataFrame([(1, "http://a/x", f"<article><p>Begin</p>{inner}</article>")], "page_id long, url string, html string")
+    assert html_text.extract(pages).first().text == "Begin"
