@@ -15,17 +15,21 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Settings of the C library's allocator in Python workers: large arrays go back to the system when they are freed.
+ALLOCATOR = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2"}
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def reachable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package where it is not installed: they start with its folder on their path.
 
-    Batches of whole texts are large, so unless the session says otherwise they get fewer rows than Spark's default.
+    Workers outlive a stage, so what a stage freed must not stay with them. Batches of whole texts are large, so unless the session says otherwise they get fewer rows than Spark's default.
     """
     path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in path:
         spark.sparkContext.environment.setdefault("PYTHONPATH", os.pathsep.join([ROOT, *filter(None, path)]))
+    for name, value in ALLOCATOR.items():
+        spark.sparkContext.environment.setdefault(name, value)
     if spark.conf.get(ROWS_PER_BATCH) == "10000":
         spark.conf.set(ROWS_PER_BATCH, "1000")
     return use_utc(spark)
