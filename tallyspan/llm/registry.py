@@ -15,8 +15,8 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-#: Settings of the C library's allocator in Python workers: large arrays go back to the system when they are freed.
-ALLOCATOR = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2"}
+#: Settings of the allocators of Python workers: large arrays, Arrow's too, go back to the system when they are freed.
+ALLOCATOR = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2"}
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
