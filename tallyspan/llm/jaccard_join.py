@@ -350,7 +350,7 @@ def list_edges(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     First every member meets the HEADS members that come first in its list: a list of no more is done, and a group of
     near copies is mostly connected, by one edge per member. Then only members outside the list's largest component meet
-    the whole list, in parts of bounded size, and only sets of different components are linked. So rows and edges grow
+    the whole list, both in parts of bounded size, and only sets of different components are linked. So rows and edges grow
     with the members of a group of near copies, not with its pairs, and every pair is decided.
     """
     parallel = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -371,8 +371,16 @@ def list_edges(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rest = named.join(open_lists, "centre").where(F.col("label") != F.col("most")).select("centre", "fp", "label")
     rest = materialise(rest.join(sets.select("fp", F.octet_length("elements").alias("bytes")), "fp"), "left-over")
     room = rest.groupBy("centre").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).alias("parts"))
-    heads = rest.join(room, "centre").select("centre", F.pmod(F.xxhash64(F.lit(3), "fp"), "parts").alias("part"), F.lit(True).alias("head"), "fp", "label")
-    others = _parts(named.join(room, "centre"), F.col("parts")).select("centre", "part", F.lit(False).alias("head"), "fp", "label")
+    room = room.join(sizes, "centre").select("centre", "parts", F.ceil(F.col("m") / SPREAD).alias("slices"))
+    # each part of the left-over members meets each slice of the list, so no task reads a whole list
+    own = rest.join(room, "centre").withColumn("own", F.pmod(F.xxhash64(F.lit(3), "fp"), "parts"))
+    heads = _parts(own, F.col("slices")).select(
+        "centre", (F.col("own") * F.col("slices") + F.col("part")).alias("part"), F.lit(True).alias("head"), "fp", "label"
+    )
+    piece = F.pmod(F.xxhash64(F.lit(4), "fp"), "slices")
+    others = _parts(named.join(room, "centre"), F.col("parts")).select(
+        "centre", (F.col("part") * F.col("slices") + piece).alias("part"), F.lit(False).alias("head"), "fp", "label"
+    )
     # a part that no left-over member fell into has nothing to compare
     others = others.join(heads.select("centre", "part").distinct(), ["centre", "part"], "left_semi")
     return stars.unionByName(_linked(heads.unionByName(others), sets, percent, parallel))
