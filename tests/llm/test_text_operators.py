@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -492,6 +493,31 @@ def test_kneser_ney_equals_the_formulas(spark):
     assert np.exp(table.astype(np.float64)).reshape(-1, quality.SYMBOLS).sum(axis=1) == pytest.approx(1.0, abs=1e-4)
 
 
+def test_texts_are_scored_by_a_join_with_the_model(spark, monkeypatch):
+    """The model never comes to the driver; sums are those of the plain formula, in blocks of any size, for unseen n-grams too."""
+    monkeypatch.setattr(quality, "dense", None)
+    text = b"the cat sat on the mat, the dog sat on the log. 12 cats, 3 dogs!"
+    counts = collections.Counter(quality.gram_keys(np.frombuffer(text, np.uint8), np.array([0, len(text)])).tolist())
+    grams = quality.kneser_ney(spark.createDataFrame([(x, k, c) for x in ("en", "*") for k, c in counts.items()], "lang string, key long, c long"))
+    p = plain_kneser_ney(counts, quality.ORDER, quality.SYMBOLS, quality.BITS)
+    keys = [*list(counts)[:30], *np.random.default_rng(1).integers(0, 1 << 20, 60).tolist()]
+    wanted = spark.createDataFrame([("en", int(k)) for k in set(keys)], "lang string, key int")
+    found = quality.probabilities(grams, wanted).collect()
+    assert len(found) == len(set(keys)) and all(r.p == pytest.approx(p(r.key, quality.ORDER), rel=1e-9) for r in found)
+    texts = ["the cat", None, "", "zq~ 9 the mat", "the cat", "é the log the log"] * 3
+    model = quality.Model({"en": 0, "*": 1}, grams, {"en": -2.0, "*": -2.5}, {"en": 12.0, "*": 20.0}, 50.0)
+    for size in (quality.BLOCK_BYTES, 20):
+        monkeypatch.setattr(quality, "BLOCK_BYTES", size)
+        got = {r.doc_id: r for r in quality.score(docs_of(spark, texts, langs=["en", "xx", None] * 6), model).collect()}
+        assert len(got) == len(texts)
+        for i, t in enumerate(texts):
+            raw = np.frombuffer((t or "").encode(), np.uint8)
+            total = sum(math.log(p(int(k), quality.ORDER)) for k in quality.gram_keys(raw, np.array([0, len(raw)])))
+            mean, limit = (-2.0, 12.0) if i % 3 == 0 else (-2.5, 20.0)
+            want = math.exp(-(total + 50.0 * mean) / (len(raw) + 50.0))
+            assert got[i].perplexity == pytest.approx(want, rel=1e-5) and got[i].threshold == limit and got[i].keep == (want <= limit)
+
+
 def test_gram_keys_end_at_their_text():
     data = np.frombuffer(b"abcab", np.uint8)
     apart = [quality.gram_keys(data[:3], np.array([0, 3])), quality.gram_keys(data[3:], np.array([0, 2]))]
