@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyspan.llm.words import U64, chunks, mix, span_hashes, text_bytes
 
-REMEMBERED = 200_000  # resolved pre-tokens that a worker keeps; beyond it starts anew
+REMEMBERED = 200_000  # resolved pre-tokens that a worker keeps; beyond it those not met of late go
 MOST_TOKENS = 2_000_000  # a vocabulary is broadcast: larger ones are refused
 REMEMBERED_LENGTH = 64  # longer pre-tokens are resolved each time
 _STEP = U64(0x9E3779B97F4A7C15)
@@ -106,29 +106,38 @@ def read_vocabulary(path: str, pattern: str) -> Vocabulary:
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ranks of a piece's tokens: always the pair of least rank, leftmost first, becomes one token."""
     n = len(piece)
-    rank_of, push, pop = ranks.get, heapq.heappush, heapq.heappop
+    rank_of, push, pop, replace = ranks.get, heapq.heappush, heapq.heappop, heapq.heapreplace
     after = list(range(1, n + 1))  # end of the token that starts here
     before = list(range(-1, n))
-    pair = [rank_of(piece[i : i + 2], -1) for i in range(n)]  # rank of the token here with the next one; -1 if none
-    pair[n - 1] = -1
+    pair = [rank_of(piece[i : i + 2], -1) for i in range(n - 1)]  # rank of the token here with the next one; -1 if none
+    pair.append(-1)
     # an entry is rank and start in one small integer; it holds as long as the pair there has that rank
-    heap = [r * n + i for i, r in enumerate(pair) if r >= 0]
+    shift = n.bit_length()
+    low = (1 << shift) - 1
+    heap = [r << shift | i for i, r in enumerate(pair) if r >= 0]
     heapq.heapify(heap)
     while heap:
-        rank, start = divmod(pop(heap), n)
-        if pair[start] != rank:
+        least = heap[0]
+        start = least & low
+        if pair[start] != least >> shift:
+            pop(heap)
             continue
         middle = after[start]
         end = after[start] = after[middle]
         before[end], pair[middle] = start, -1
         pair[start] = r = rank_of(piece[start : after[end]], -1) if end < n else -1
-        if r >= 0:
-            push(heap, r * n + start)
         left = before[start]
         if left >= 0:
-            pair[left] = r = rank_of(piece[left:end], -1)
-            if r >= 0:
-                push(heap, r * n + left)
+            pair[left] = further = rank_of(piece[left:end], -1)
+            if further >= 0:
+                replace(heap, further << shift | left)  # in the place of the entry that is done
+                if r >= 0:
+                    push(heap, r << shift | start)
+                continue
+        if r >= 0:
+            replace(heap, r << shift | start)
+        else:
+            pop(heap)
     out, at = [], 0
     while at < n:
         out.append(ranks[piece[at : after[at]]])
@@ -148,14 +157,18 @@ class Encoder:
         self.split = regex.compile(vocabulary.pattern).findall
         self.ranks = {t: r for r, t in enumerate(vocabulary.tokens)}
         self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}  # resolved before ``known`` last started anew
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [self.split(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.earlier = {}, self.known
+        known, earlier = self.known, self.earlier
         new = [p for p in set().union(*pieces) if p not in known]
         once = {}
+        if new and earlier:
+            known.update((p, earlier[p]) for p in new if p in earlier)
+            new = [p for p in new if p not in known]
         if new:
             raw = [p.encode() for p in new]
             for piece, data, rank in zip(new, raw, self.vocabulary.whole(raw)):

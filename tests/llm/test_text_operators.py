@@ -493,6 +493,23 @@ def test_kneser_ney_equals_the_formulas(spark):
     assert np.exp(table.astype(np.float64)).reshape(-1, quality.SYMBOLS).sum(axis=1) == pytest.approx(1.0, abs=1e-4)
 
 
+def test_pre_tokens_in_use_are_merged_once(monkeypatch):
+    """What a worker has resolved stays while it is met again, however many other pre-tokens pass; ids are tiktoken's."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    vocabulary = bpe.read_vocabulary(path, public_tokenizers.PATTERN)
+    theirs = tiktoken.Encoding("t", pat_str=vocabulary.pattern, mergeable_ranks={t: r for r, t in enumerate(vocabulary.tokens)}, special_tokens={})
+    merged, merge = collections.Counter(), bpe.merge
+    monkeypatch.setattr(bpe, "REMEMBERED", 40)
+    monkeypatch.setattr(bpe, "merge", lambda piece, ranks: (merged.update([piece]), merge(piece, ranks))[1])
+    encoder = bpe.Encoder(vocabulary)
+    letters = np.random.default_rng(4).permutation(list("abcdefghijklmnopqrstuvwxyzäöß") * 400)
+    for i in range(0, len(letters), 60):
+        text = "qzqxkvbw " + " ".join("".join(letters[k : k + 6]) for k in range(i, i + 60, 6))
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == theirs.encode(text, disallowed_special=())
+        assert len(encoder.known) <= 40 and len(encoder.earlier) <= 40
+    assert merged[b"qzqxkvbw"] == 1
+
+
 def test_texts_are_scored_by_a_join_with_the_model(spark, monkeypatch):
     """The model never comes to the driver; sums are those of the plain formula, in blocks of any size, for unseen n-grams too."""
     monkeypatch.setattr(quality, "dense", None)
