@@ -638,3 +638,22 @@ def test_attributes_that_hide_nothing(spark, inner):
 def test_attributes_that_hide(spark, inner):
     pages = spark.createDataFrame([(1, "http://a/x", f"<article><p>Begin</p>{inner}</article>")], "page_id long, url string, html string")
     assert html_text.extract(pages).first().text == "Begin"
+
+
+def test_large_blocks_ask_once_for_their_ngrams(spark, monkeypatch):
+    """Rows of one block share its questions and answers: texts of a language are not asked for by the megabyte."""
+    asked, real = [], quality.materialise
+    monkeypatch.setattr(quality, "materialise", lambda df, name: asked.append((name, real(df, name))) or asked[-1][1])
+    texts = ["the cat sat on the mat and saw another cat " * 100, "a dog ran after it " * 200, ""]
+    docs = spark.createDataFrame([(i, texts[i % 3], "en", "s", 0) for i in range(600)], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = quality.train(docs, labels)
+    asked.clear()
+    rows = quality.score(docs, model).collect()
+    found = dict(asked)
+    assert found["blocks"].count() >= 2 and found["blocks"].select("block").distinct().count() == 1
+    assert found["asked"].count() == found["asked"].distinct().count() > 0
+    assert len(rows) == 600 and len({(r.doc_id % 3, r.perplexity) for r in rows}) == 3
+    for r in rows[:3]:
+        alone = quality.score(docs.where(f"doc_id = {r.doc_id}"), model).first()
+        assert abs(alone.perplexity - r.perplexity) < 1e-9
