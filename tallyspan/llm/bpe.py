@@ -190,13 +190,7 @@ def _encoder(shared) -> Encoder:
     return _encoders[0][1]
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, ids) for every row of ``docs``; other columns are left out.
-
-    A null or empty text has no ids (an empty binary, not null). Repeated rows each give a row.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-
+def _encoding(shared):
     def run(batches):
         encoder = _encoder(shared)
         for batch in batches:
@@ -206,13 +200,19 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 ids = encoder.encode(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return run
 
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, ids, decoded): the bytes that the ids stand for. Null ids decode to null; an id outside the vocabulary fails."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, ids) for every row of ``docs``; other columns are left out.
 
+    A null or empty text has no ids (an empty binary, not null). Repeated rows each give a row.
+    """
+    run = _encoding(docs.sparkSession.sparkContext.broadcast(vocabulary))
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
+
+
+def _decoding(shared):
     def run(batches):
         token = shared.value.tokens.__getitem__
         for batch in batches:
@@ -222,11 +222,26 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 decoded = [None if x is None else b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
 
+    return run
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, ids, decoded): the bytes that the ids stand for. Null ids decode to null; an id outside the vocabulary fails."""
+    run = _decoding(encoded.sparkSession.sparkContext.broadcast(vocabulary))
     return encoded.select("doc_id", "ids").mapInArrow(
         run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids binary, decoded binary"
     )
 
 
+def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """What ``decode`` returns for ``encode`` of ``docs``, by one Python worker per task: as two steps each would keep the vocabulary in one of its own."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    encoding, decoding = _encoding(shared), _decoding(shared)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+        lambda batches: decoding(encoding(batches)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, decoded binary"
+    )
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     return decoded.select(
         "doc_id",

@@ -205,7 +205,7 @@ def without_leaks(docs: DataFrame, found: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], own], names)
 
     kinds = StructType([*docs.schema.fields, StructField("_text_key", LongType())])
-    return without(docs.select("*", _lower().alias("_lower")).mapInArrow(keyed, kinds), "_text_key", found.select("text_key")).select(docs.columns)
+    return without(docs.select("*", _lower().alias("_lower")), "_text_key", found.select("text_key"), (keyed, kinds)).select(docs.columns)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 4, least: float = 0.5) -> DataFrame:

@@ -38,7 +38,9 @@ HEADS = 32  # members of an inverted list that all others are compared with firs
 SPREAD = 1024  # members of a list that one task compares with the heads
 BLOCK = 256  # members outside a list's largest component that one task holds while the list passes by
 BLOCK_BYTES = 8 << 20  # and their bytes
-BUCKET_ENTRIES = 1_500_000  # inverted-list entries that one task sorts at a time
+BUCKET_ENTRIES = 400_000  # inverted-list entries that one task sorts at a time
+PACKED_ENTRIES = 200_000  # and that a task holds until it deals them to buckets
+OUT_BYTES = 2 << 20  # sets that a task holds before it hands them on
 HOT_MOST = 100_000  # shingles kept as frequent: a bound on a broadcast, not on the result
 
 
@@ -177,9 +179,9 @@ def _invert(n: int, percent: int, floor: int, frequent, buckets: int):
                 rows["rank"] = np.concatenate((np.zeros(len(counted), np.int8), _tiers(entry[len(counted) :], hot)))
                 held.append(rows)
                 size += len(rows)
-            if size > 500_000:
-                yield from flush()
-                held, size = [], 0
+                if size > PACKED_ENTRIES:
+                    yield from flush()
+                    held, size = [], 0
         if held:
             yield from flush()
 
@@ -430,7 +432,7 @@ def _wanted(n: int, bits):
                     keys.append(key)
                     elements.append(found.tobytes())
                     held += len(elements[-1])
-                if held > BLOCK_BYTES:
+                if held > OUT_BYTES:
                     yield pa.RecordBatch.from_pydict({"fp": pa.array(keys, pa.int64()), "elements": pa.array(elements, pa.binary())})
                     keys, elements, held = [], [], 0
             yield pa.RecordBatch.from_pydict({"fp": pa.array(keys, pa.int64()), "elements": pa.array(elements, pa.binary())})

@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -65,9 +66,76 @@ def test_rows_are_taken_by_key(spark):
     assert sorted(r.v for r in rows.without(df, "k", keys).collect()) == ["a", "d"]
 
 
+def python_steps(df):
+    """The most Python steps that one task of ``df`` runs one after the other."""
+    most = run = 0
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        run = 0 if "Exchange" in line or "Scan" in line else run + ("MapInArrow" in line)
+        most = max(most, run)
+    return most
+
+
+def test_a_task_keeps_one_python_worker(spark):
+    """Each step of a chain would hold a worker of its own, and an executor keeps them all."""
+    grams = quality.kneser_ney(spark.createDataFrame([(x, k, 2) for x in ("en", "*") for k in range(40)], "lang string, key long, c long"))
+    docs = docs_of(spark, ["a b c d e f", "", None, "an item of eight words is found here"])
+    assert python_steps(quality.score(docs, quality.Model({"en": 0, "*": 1}, grams))) == 1
+    found = decontaminate.leaks(docs, spark.createDataFrame([(1, "an item of eight words is found here")], "item_id long, text string"))
+    clean = decontaminate.without_leaks(docs, found)
+    assert python_steps(clean) == 1
+    assert python_steps(corpus_pipeline.byte_level_bpe(spark, docs, SF)) == 1
+    assert clean.schema == docs.schema and sorted(r.doc_id for r in clean.collect()) == [0, 1, 2]
+    assert sorted(r.doc_id for r in decontaminate.without_leaks(docs, found.limit(0)).collect()) == [0, 1, 2, 3]
+
+
+def test_encoding_and_decoding_at_once_is_both_in_turn(spark):
+    docs = docs_of(spark, ODD)
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    apart, at_once = bpe.decode(bpe.encode(docs, vocabulary), vocabulary), bpe.encode_and_decode(docs, vocabulary)
+    assert at_once.schema == apart.schema and sorted(map(tuple, at_once.collect())) == sorted(map(tuple, apart.collect()))
+
+
+def test_rows_are_made_where_they_are_parted(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k long, v string")
+    schema = spark.createDataFrame([], "v string, twice long").schema
+
+    def doubled(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([None if k is None else 2 * k for k in b.column(0).to_pylist()], pa.int64())], ["v", "twice"])
+
+    for keys, left in (([4, None, 9], ["a", "d"]), ([], ["a", "b", "c", "d"])):
+        got = rows.without(df, "twice", spark.createDataFrame([(k,) for k in keys], "k long"), (doubled, schema))
+        assert got.columns == ["v", "twice"] and sorted(r.v for r in got.collect()) == left
+
+
+def test_batches_of_packed_rows_are_bounded(spark):
+    """A thousand rows of a megabyte each would be held by the JVM and by the worker at once."""
+
+    def counted(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": pa.array([b.num_rows], pa.int64())})
+
+    packed = spark.range(0, 12, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).cast("binary").alias("held"))
+    found = [r.rows for r in packed.mapInArrow(counted, "rows long").collect()]
+    assert sum(found) == 12 and max(found) <= 5
+
+
 # --- 10
 
 
+def test_entries_are_dealt_out_before_they_are_many():
+    """A task holds a bounded number of inverted-list entries, however many a batch of texts makes, and loses none."""
+
+    class Frequent:
+        value = np.empty(0, np.uint64)
+
+    texts = pa.array([" ".join(f"w{i}x{k}" for k in range(700)) for i in range(1000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), texts], ["doc_id", "text"])
+    out = [len(b.column(1)[0].as_py()) // jaccard_join.ENTRY.itemsize for b in jaccard_join._invert(5, 80, 1, Frequent, 1)([batch])]
+    counted = sum(int(((found & np.uint64(7)) < jaccard_join.SAMPLED).sum()) for _, found in jaccard_join._sets(texts, 5))
+    assert sum(out) >= counted and max(out) <= jaccard_join.PACKED_ENTRIES + 700
+
+
 def shingle_set(text, n):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
