@@ -725,3 +725,67 @@ def test_large_blocks_ask_once_for_their_ngrams(spark, monkeypatch):
     for r in rows[:3]:
         alone = quality.score(docs.where(f"doc_id = {r.doc_id}"), model).first()
         assert abs(alone.perplexity - r.perplexity) < 1e-9
+
+
+def script_docs(spark, seed=11):
+    """Good texts of thirty invented Cyrillic words, junk of the same letters, and a good text in capitals."""
+    rng = np.random.default_rng(seed)
+    letters = [chr(c) for c in range(0x430, 0x450)]
+    vocabulary = ["".join(rng.choice(letters, rng.integers(2, 9))) for _ in range(30)]
+    good = lambda: " ".join(rng.choice(vocabulary, 80))
+    junk = lambda: " ".join("".join(rng.permutation(list(w))) for w in good().split())
+    data = [(i, good(), "ru") for i in range(60)] + [(100 + i, junk(), "ru") for i in range(10)] + [(200, good().upper(), "ru")]
+    docs = spark.createDataFrame([(*r, "s", len(r[1])) for r in data], "doc_id long, text string, lang string, source string, n_chars long")
+    return docs, spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+
+
+def test_letters_of_any_script_are_told_apart(spark):
+    """Junk has as many letters, spaces and words as good text, in another order; all perplexities are those of the plain formula."""
+    docs, labels = script_docs(spark)
+    model = quality.train(docs, labels)
+    got = {r.doc_id: r for r in quality.score(docs, model).collect()}
+    assert {i for i, r in got.items() if r.keep} == set(range(60))
+    texts = {r.doc_id: np.frombuffer(r.text.encode(), np.uint8) for r in docs.collect()}
+    keys = {i: quality.gram_keys(t, np.array([0, len(t)]), quality.LONGEST).tolist() for i, t in texts.items()}
+    p = plain_kneser_ney(collections.Counter(k for i in range(40) for k in keys[i]), quality.LONGEST, quality.SYMBOLS, quality.BITS)
+    known = {}
+    for i in (0, 45, 100, 200):
+        total = sum(known[k] if k in known else known.setdefault(k, math.log(p(k, quality.LONGEST))) for k in keys[i])
+        want = math.exp(-(total + model.drawn_by * model.mean["ru"]) / (len(texts[i]) + model.drawn_by))
+        assert got[i].perplexity == pytest.approx(want, rel=1e-5)
+
+
+def test_keys_are_the_bytes_of_runs():
+    """No two bytes are one unit, whether the runs are numbered by tables or sorted, in texts of any length."""
+    rng = np.random.default_rng(2)
+    texts = [b"", "Añ b 日本\n9".encode(), b"", bytes(range(32, 127)), rng.integers(32, 127, quality.CHUNK_BYTES + 9).astype(np.uint8).tobytes(), b"x"]
+    data, bounds = np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    want = []
+    for t in texts:
+        t = b"\n" * 4 + t
+        again = {m.end(1) for m in re.finditer(rb"(?:^|(?<=[\x20\x09-\x0D]))([^\x20\x09-\x0D]+)(?=[\x20\x09-\x0D])", t) if m.group(1).lower() == (t[: m.start()].split() or [b""])[-1].lower()} if len(t) < 99 else set()
+        own = np.frombuffer(t, np.uint8).copy()
+        if len(t) >= 99:
+            own[4 + quality.said_again(own[4:], np.array([0, len(own) - 4]))] = 255
+        own[list(again)] = 255
+        want += [int.from_bytes(own[i - 4 : i + 1].tobytes(), "big") for i in range(4, len(own))]
+    assert quality.gram_keys(data, bounds, 5).tolist() == want
+
+
+def test_counts_grow_with_the_texts(monkeypatch):
+    """Every run of every text is counted, more of them than any table of classes has cells, also where a task holds few at once."""
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(33, 127, n).astype(np.uint8).tobytes().decode() for n in (1_200_000, 0, 5, 300, 300, 7_000)] + [None]
+    batch = pa.RecordBatch.from_pydict({"lang": pa.array(["a", "a", "b", "b", "a", "c", "b"]), "text": pa.array(texts, pa.string())})
+    want = collections.Counter()
+    for lang, text in zip(batch["lang"].to_pylist(), texts):
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        want.update((lang, k) for k in quality.gram_keys(raw, np.array([0, len(raw)]), 5).tolist())
+    assert len(want) > 1 << 20 and sum(want.values()) == sum(len(t or "") for t in texts)
+    for held in (quality.HELD_GRAMS, 1000):
+        monkeypatch.setattr(quality, "HELD_GRAMS", held)
+        got = collections.Counter()
+        for b in quality._counts(5)(iter([batch.slice(0, 3), batch.slice(3)])):
+            for lang, key, c in zip(*(b[k].to_pylist() for k in ("lang", "key", "c"))):
+                got[lang, key] += c
+        assert got == want
