@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyspan.llm import pii, quality
 from tallyspan.llm.registry import reachable
 
-from test_text_operators import plain_base, plain_groups
+from test_text_operators import plain_base, plain_groups, script_docs
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,3 +93,10 @@ def test_stages_take_odd_documents(spark):
     kept = cp.near_duplicates(spark, docs, SF).collect()
     assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 2, 3, 4]
     assert quality and pii and F
+
+
+def test_quality_stage_tells_scripts_apart(spark, tmp_path):
+    """Junk made of the good documents' own letters, none of them ASCII, goes; good documents without a label stay."""
+    docs, labels = script_docs(spark)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    assert {r.doc_id for r in cp.quality_classifier(spark, docs, str(tmp_path)).collect()} == set(range(60))
